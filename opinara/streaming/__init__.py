@@ -1,0 +1 @@
+"""No streaming operators: the feature set covered here is batch only."""
