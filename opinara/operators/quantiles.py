@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.session import checkpoint
+from opinara.session import materialise
 
 
 def exact_quantiles(df: DataFrame, value: Column, points: list[float]) -> list[float | None]:
@@ -19,7 +19,7 @@ def exact_quantiles(df: DataFrame, value: Column, points: list[float]) -> list[f
     """
     counts = df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     counts = counts.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    ranged = checkpoint(counts.repartitionByRange("v").withColumn("_range", F.spark_partition_id()))
+    ranged = materialise(counts.repartitionByRange("v").withColumn("_range", F.spark_partition_id()))
     sizes = ranged.groupBy("_range").agg(F.sum("n").alias("n")).orderBy("_range").collect()  # one row per partition
     total = sum(r["n"] for r in sizes)
     if total == 0:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.session import checkpoint
+from opinara.session import materialise
 
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -41,7 +41,7 @@ def row_at_position(keys: DataFrame, order: list[str], position: int):
     Rows are range-partitioned on the order columns, counted per range, and only
     the range that holds the position is sorted. Pass key columns only.
     """
-    ranged = checkpoint(keys.select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    ranged = materialise(keys.select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     counts = ranged.groupBy("_range").count().orderBy("_range").collect()  # one row per partition
     before = 0
     for row in counts:
@@ -55,7 +55,7 @@ def row_at_position(keys: DataFrame, order: list[str], position: int):
 
 def with_position(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
     """Dense 0-based position of every row in the global order of `order`."""
-    ranged = checkpoint(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    ranged = materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     counts = ranged.groupBy("_range").count().orderBy("_range").collect()  # one row per partition
     starts, before = [], 0
     for row in counts:
@@ -92,14 +92,32 @@ def temporal_split(reviews: DataFrame, order: list[str], test_size: float = 0.2)
     return reviews.filter(first), reviews.filter(~first)
 
 
-def user_halves(reviews: DataFrame, order: list[str], user: str = "user_id") -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    """Key values with more than `limit` rows, or None when there are none."""
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(*keys)
+    return None if hot.isEmpty() else materialise(hot)
+
+
+def user_halves(reviews: DataFrame, order: list[str], user: str = "user_id", hot_limit: int = 1_000_000) -> DataFrame:
     """Mark each review as in the later half of its user's time order.
 
-    `position` counts from 0; rows from `n // 2` on are `is_later_half`.
+    `position` counts from 0; rows from `n // 2` on are `is_later_half`. Users
+    with more than `hot_limit` reviews are placed by a range-partitioned global
+    sort, so no task has to hold one user's whole history.
     """
+    hot = hot_keys(reviews, [user], hot_limit)
     w = Window.partitionBy(user)
-    return (
-        reviews.withColumn("position", F.row_number().over(w.orderBy(*order)) - 1)
-        .withColumn("n_reviews", F.count(F.lit(1)).over(w))
-        .withColumn("is_later_half", F.col("position") >= F.floor(F.col("n_reviews") / 2))
-    )
+
+    def windowed(df: DataFrame) -> DataFrame:
+        return df.withColumn("position", (F.row_number().over(w.orderBy(*order)) - 1).cast("long")).withColumn(
+            "n_reviews", F.count(F.lit(1)).over(w)
+        )
+
+    if hot is None:
+        placed = windowed(reviews)
+    else:
+        ranged = with_position(reviews.join(hot, user, "left_semi"), [user, *order], "_at")
+        starts = ranged.groupBy(user).agg(F.min("_at").alias("_start"), F.count(F.lit(1)).alias("n_reviews"))
+        large = ranged.join(starts, user).withColumn("position", F.col("_at") - F.col("_start"))
+        placed = windowed(reviews.join(hot, user, "left_anti")).unionByName(large.drop("_at", "_start"))
+    return placed.withColumn("is_later_half", F.col("position") >= F.floor(F.col("n_reviews") / 2))

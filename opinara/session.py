@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,19 +29,28 @@ def build_session(master: str | None = None, app: str = "opinara", **extra: str)
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so the result outlives lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the one the cluster names in `spark.checkpoint.dir`.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. A private
-    folder is made only for a local master that names none, as in tests.
+    A private folder is made only for a local master that names none, as in tests.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="opinara-checkpoint-")
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="opinara-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return folder
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder and read it back.
+
+    Cuts lineage, survives lost executors, and gives later joins real sizes to plan with.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/opinara-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
