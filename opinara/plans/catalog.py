@@ -1,6 +1,6 @@
 """All named queries."""
 
-from opinara.plans import eda, graph, lookups, quality, recommend  # noqa: F401
+from opinara.plans import eda, graph, lookups, quality, recommend, text  # noqa: F401
 from opinara.plans.registry import callables, oracles
 
 __all__ = ["callables", "oracles"]
