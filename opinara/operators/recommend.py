@@ -193,7 +193,7 @@ def recommend_hybrid(user_based: DataFrame, content: DataFrame, alpha: float = 0
     u = user_based.select("user_id", "item_id", F.col("score").alias("u"))
     c = content.select("user_id", "item_id", F.col("score").alias("c"))
     score = F.lit(alpha) * F.coalesce("u", F.lit(0.0)) + F.lit(1 - alpha) * F.coalesce("c", F.lit(0.0))
-    both = u.join(c, ["user_id", "item_id"], "full").select("user_id", "item_id", F.round(score, 9).alias("score"))
+    both = u.join(c, ["user_id", "item_id"], "full").select("user_id", "item_id", F.round(score, 10).alias("score"))
     return top_n_per_key(both, ["user_id"], [F.desc("score"), F.asc("item_id")], n)
 
 

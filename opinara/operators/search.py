@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions.text import tokens
 from opinara.operators.toprows import top_n_per_key
+from opinara.session import materialise
 
 K1, B = 1.2, 0.75
 
@@ -25,12 +26,16 @@ def keyword_search(docs: DataFrame, id_col: str, text_col: str, queries: dict[st
         "query_id", F.explode(F.array_distinct(tokens("q"))).alias("term")
     )
     terms = [r["term"] for r in asked.select("term").distinct().collect()]  # the words the caller typed
-    words = docs.select(F.col(id_col).alias("doc"), tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
-    stats = words.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg(F.size("w")).alias("avg_len")).alias("s")).scalar()
+    words = tokens(F.coalesce(F.col(text_col), F.lit("")))
+    # Tokenised once: length and query words of every document, both small.
+    seen = materialise(
+        docs.select(F.col(id_col).alias("doc"), words.alias("w")).select(
+            "doc", F.size("w").alias("len"), F.filter("w", lambda t: t.isin(*terms)).alias("m")
+        )
+    )
+    stats = seen.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg_len")).alias("s")).scalar()
     hits = (
-        words.select("doc", F.size("w").alias("len"), F.filter("w", lambda t: t.isin(*terms)).alias("m"))
-        .filter(F.size("m") > 0)
-        .select("doc", "len", F.explode("m").alias("term"))
+        seen.filter(F.size("m") > 0).select("doc", "len", F.explode("m").alias("term"))
         .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
     )
     df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -53,7 +53,7 @@ def hybrid_score(first: DataFrame, second: DataFrame, k: int = 5, weight: float
     a = first.select("query_id", "neighbour_id", F.col("similarity").alias("a"))
     b = second.select("query_id", "neighbour_id", F.col("similarity").alias("b"))
     s = F.lit(weight) * F.coalesce("a", F.lit(0.0)) + F.lit(1 - weight) * F.coalesce("b", F.lit(0.0))
-    both = a.join(b, ["query_id", "neighbour_id"], "full").select("query_id", "neighbour_id", F.round(s, 9).alias("similarity"))
+    both = a.join(b, ["query_id", "neighbour_id"], "full").select("query_id", "neighbour_id", F.round(s, 10).alias("similarity"))
     return top_n_per_key(both, ["query_id"], [F.desc("similarity"), F.asc("neighbour_id")], k)
 
 
