@@ -67,8 +67,9 @@ def _linked_dense(pairs: DataFrame, points: DataFrame, eps: float) -> DataFrame:
     chunked = p.withColumn("ca", F.explode(F.sequence(F.lit(0), F.col("n_a") - 1))).withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("n_b") - 1)))
     part = points.join(sizes, "cell").select("cell", F.pmod(F.xxhash64("pid"), F.col("n")).cast("int").alias("c"), "vec")
     left = chunked.join(part.withColumnsRenamed({"cell": "a", "c": "ca"}), ["a", "ca"]).select("a", "b", "ca", "cb", "vec")
-    right = chunked.join(part.withColumnsRenamed({"cell": "b", "c": "cb"}), ["b", "cb"]).select("a", "b", "ca", "cb", "vec")
+    right = chunked.join(part.withColumnsRenamed({"cell": "b", "c": "cb"}), ["b", "cb"])
     keys = ["a", "b", "ca", "cb"]
+    right = right.select(*[F.col(c).alias(f"r_{c}") for c in keys], F.col("vec"))
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         u, v = np.array(x["vec"].tolist()), np.array(y["vec"].tolist())
@@ -80,7 +81,7 @@ def _linked_dense(pairs: DataFrame, points: DataFrame, eps: float) -> DataFrame:
                 break
         return x[["a", "b"]].head(1) if hit else x[["a", "b"]].head(0)
 
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "a string, b string").distinct()
+    return left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{c}" for c in keys])).applyInPandas(meet, "a string, b string").distinct()
 
 
 def dbscan(features: DataFrame, eps: float = 0.5, min_samples: int = 5, scale: bool = True) -> DataFrame:

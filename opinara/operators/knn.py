@@ -17,8 +17,6 @@ Vectors that are equal are searched once (see `scores.expand_classes`).
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,6 +29,7 @@ from opinara.session import materialise
 
 CHUNK = 2048
 MAX_PIVOTS = 1024
+CELL_ROWS = 512  # wanted items per pivot cell
 DIGITS = 9
 SLACK = 1e-6  # keeps rounding from ruling out a cell that holds a tie
 
@@ -127,7 +126,7 @@ def _pivots(items: DataFrame, count: int) -> np.ndarray:
 def exact_search(queries: DataFrame, items: DataFrame, k: int, metric: str, n_pivots: int | None = None) -> DataFrame:
     """Exact top `k`: `query`, `item`, `score`, `rank`. Vectors must suit the metric already."""
     n = items.count()
-    count = n_pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n))))
+    count = n_pivots or max(1, min(MAX_PIVOTS, n // CELL_ROWS))
     item_sq = 1.0  # squared length no item exceeds
     if metric == "ip":
         # Inner product order equals distance order once items share one length:
@@ -149,6 +148,8 @@ def exact_search(queries: DataFrame, items: DataFrame, k: int, metric: str, n_pi
     points = pivots[used]
 
     own = materialise(_best(search_cells(qs.select("cell", "query", "qvec"), xs.select("cell", "item", "vec"), k, metric), k))
+    if len(used) == 1:
+        return own
     worst = own.filter(F.col("rank") == k).select("query", F.col("score").alias("kth"))
     first = qs.join(worst, "query", "left")
 

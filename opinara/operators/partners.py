@@ -68,6 +68,7 @@ def top_partners(
     order: Callable[[str | None], list[Column]],
     members: list[Column] | None = None,
     attrs: list[str] | None = None,
+    pattern_attrs: list[str] | None = None,
     hot_limit: int = HOT_LIMIT,
 ) -> DataFrame:
     """The best `k` partners of every entity: `a_id`, `b_id`, the sums, `rank`.
@@ -75,11 +76,12 @@ def top_partners(
     edges: one row per (entity, key). `sums` are symmetric, non-negative and
     grow with every shared key. `order(x)` gives the sort columns from the sums
     and `b_` attributes, best first; with `x` an `a_` attribute may scale every
-    score of one query alike, with None it must not appear. `members` ranks
-    entities with equal sums by their `b_` attributes. The partner id is always
-    the last sort column.
+    score of one query alike, with None it must not appear, unless it is one of
+    `pattern_attrs`: entities then share a pattern only if these are equal too.
+    `members` ranks entities with equal sums by their `b_` attributes. The
+    partner id is always the last sort column.
     """
-    attrs = attrs or []
+    attrs, same = attrs or [], pattern_attrs or []
     hot = hot_keys(edges, [key], hot_limit)
     names = list(sums)
     tie = [F.asc("b_id")]
@@ -95,7 +97,8 @@ def top_partners(
     of = materialise(
         large.groupBy(F.col(entity).alias("id")).agg(
             F.concat_ws(
-                ":", F.count(F.lit(1)), F.bit_xor(F.xxhash64(key, value)), F.bit_xor(F.xxhash64(F.lit(1), key, value))
+                ":", F.count(F.lit(1)), F.bit_xor(F.xxhash64(key, value)), F.bit_xor(F.xxhash64(F.lit(1), key, value)),
+                *[F.first(c) for c in same],
             ).alias("pattern"),
             *[F.first(c).alias(c) for c in attrs],
         )
@@ -125,7 +128,11 @@ def top_partners(
     # Best members of every pattern for every pattern, then for every entity of it.
     member = of.select(F.col("id").alias("b_id"), F.col("pattern").alias("pb"), *[F.col(c).alias(f"b_{c}") for c in attrs])
     best = top_n_per_key(member, ["pb"], [*(members or []), *tie], k + 1).drop("rank")
-    lists = top_n_per_key(pattern_sums.join(best, "pb"), ["pa"], [*order(None), *tie], k + 1).drop("rank", "pb")
+    matched = pattern_sums.join(best, "pb")
+    if same:
+        own = of.groupBy(F.col("pattern").alias("pa")).agg(*[F.first(c).alias(f"a_{c}") for c in same])
+        matched = matched.join(own, "pa")
+    lists = top_n_per_key(matched, ["pa"], [*order(None), *tie], k + 1).drop("rank", "pb", *[f"a_{c}" for c in same])
     query = of.select(F.col("id").alias("a_id"), F.col("pattern").alias("pa"), *[F.col(c).alias(f"a_{c}") for c in attrs])
     by_pattern = query.join(lists, "pa").filter(F.col("a_id") != F.col("b_id")).drop("pa")
     only_hot = by_pattern.join(pairs.select("a_id", "b_id"), ["a_id", "b_id"], "left_anti")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.scalars import ellipsis, score_cell
+from opinara.functions.text import tokens
+from opinara.operators.partners import HOT_LIMIT, top_partners
 from opinara.operators.scores import copy_classes, expand_classes, top_scores
 from opinara.operators.toprows import top_n_per_key
 from opinara.session import materialise
@@ -34,6 +36,29 @@ def for_members(ranked: DataFrame, members: DataFrame, k: int) -> DataFrame:
     return top_n_per_key(own, ["query_id"], [F.desc("similarity"), F.asc("neighbour_id")], k)
 
 
+def similar_by_words(docs: DataFrame, id_col: str, text_col: str, k: int = 10, hot_limit: int = HOT_LIMIT) -> DataFrame:
+    """Best `k` other texts by Jaccard similarity of their word sets.
+
+    Texts with equal word sets are compared once and then opened up again.
+    """
+    words = docs.select(F.col(id_col).alias("item"), F.array_distinct(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("w"))
+    sets = materialise(words.select("item", F.size("w").alias("size"), F.explode("w").alias("dim")).withColumn("iw", F.lit(1.0)))
+    members = materialise(copy_classes(sets.select("item", "dim", "iw")))
+    heads = materialise(sets.join(members.filter(F.col("place") == 0), "item", "left_semi"))
+
+    def order(a: str | None):
+        return [F.desc(F.round(F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")), 9))]
+
+    best = top_partners(
+        heads, k, entity="item", key="dim", value="iw", attrs=["size"], pattern_attrs=["size"], sums={"common": lambda a, b: F.lit(1)},
+        members=[F.asc("b_size")], order=order, hot_limit=hot_limit,
+    )
+    score = F.round(F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")), 9)
+    ranked = best.select(F.col("a_id").alias("query"), F.col("b_id").alias("class"), score.alias("score"))
+    own = heads.select(F.col("item").alias("query"), F.col("item").alias("class"), F.lit(1.0).alias("score")).distinct()
+    return for_members(expand_classes(ranked.unionByName(own), members, k + 1), members, k)
+
+
 def with_product_details(similar: DataFrame, products: DataFrame, columns: tuple[str, ...] = ("title", "price", "main_category")) -> DataFrame:
     """Title, price and category of every neighbour."""
     info = products.select(F.col("item_id").alias("neighbour_id"), *columns)
