@@ -256,7 +256,8 @@ def hierarchical(features: DataFrame, k: int = 5, linkage: str = "ward", seed: i
     assigned = model.transform(data).select("id", F.col("prediction").alias("small"))
     size = {r["small"]: r["n"] for r in assigned.groupBy("small").agg(F.count(F.lit(1)).alias("n")).collect()}  # `micro` rows
     used = sorted(size)
-    centres = np.array([model.clusterCenters()[i] for i in used])
+    found = model.clusterCenters()
+    centres = np.array([found[i] for i in used])
     labels = _merge_micro(centres, np.array([size[i] for i in used]), min(k, len(used)), linkage)
     names = F.create_map(*[F.lit(int(x)) for kv in zip(used, labels) for x in kv])
     return _assignment(assigned.withColumn("cluster", names[F.col("small")]), features)

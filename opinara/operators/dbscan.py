@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 from math import sqrt
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from opinara.functions.vectors import as_doubles
 from opinara.operators.cluster import _assignment, standardise
 from opinara.operators.toprows import with_position
-from opinara.session import materialise
+from opinara.session import materialise, spread, width
 
 CHUNK = 2048
 
@@ -40,23 +41,30 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
-def _within(p: str, q: str, eps: float):
-    gap = F.aggregate(F.zip_with(p, q, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    return gap <= F.lit(eps * eps)
+UNROLLED = 16
+
+
+def _squared(x: str, y: str, dims: int, part=lambda a, b: (a - b) * (a - b)):
+    """Sum of `part` over the coordinates; written out for few of them, so that it compiles."""
+    if dims <= UNROLLED:
+        return reduce(lambda a, b: a + b, [part(F.col(x)[i], F.col(y)[i]) for i in range(dims)])
+    return F.aggregate(F.zip_with(x, y, part), F.lit(0.0), lambda s, v: s + v)
 
 
 def _cell_pairs(cells: DataFrame, side: float, eps: float, dims: int) -> DataFrame:
     """Ordered pairs of occupied cells whose boxes come within `eps`, each cell with itself included."""
     g = min(dims, 3)
-    spot = lambda i: F.floor(F.get("at", F.lit(i)) * F.lit(side / (2 * eps)))
-    here = F.array(*[spot(i) for i in range(g)])
-    around = F.array(*[F.array(*[spot(i) + F.lit(o) for i, o in enumerate(off)]) for off in product((-1, 0, 1), repeat=g)])
-    a = cells.select(F.col("cell").alias("a"), F.col("at").alias("a_at"), F.explode(around).alias("spot"))
-    b = cells.select(F.col("cell").alias("b"), F.col("at").alias("b_at"), here.alias("spot"))
-    gap = F.aggregate(
-        F.zip_with("a_at", "b_at", lambda x, y: F.pow(F.greatest(F.abs(x - y) - 1, F.lit(0)) * F.lit(side), F.lit(2.0))),
-        F.lit(0.0), lambda s, x: s + x,
-    )
+    spot = [F.floor(F.col("at")[i] * F.lit(side / (2 * eps))) for i in range(g)]
+    steps = F.array(*[F.array(*[F.lit(o).cast("long") for o in off]) for off in product((-1, 0, 1), repeat=g)])
+    a = spread(cells).select(F.col("cell").alias("a"), F.col("at").alias("a_at"), F.array(*spot).alias("s"), F.explode(steps).alias("o"))
+    a = a.select("a", "a_at", F.array(*[F.col("s")[i] + F.col("o")[i] for i in range(g)]).alias("spot"))
+    b = cells.select(F.col("cell").alias("b"), F.col("at").alias("b_at"), F.array(*spot).alias("spot"))
+
+    def apart(x, y):
+        away = F.greatest(F.abs(x - y) - 1.0, F.lit(0.0)) * F.lit(side)
+        return away * away
+
+    gap = _squared("a_at", "b_at", dims, apart)
     return a.join(b, "spot").filter(gap <= F.lit(eps * eps * (1 + 1e-9))).select("a", "b")
 
 
@@ -108,10 +116,10 @@ def dbscan(features: DataFrame, eps: float = 0.5, min_samples: int = 5, scale: b
     prints = base.select("id", F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), "vec").alias("h2"))
     heads = prints.groupBy("h1", "h2").agg(F.min("id").alias("pid"), F.count(F.lit(1)).alias("w"))
     members = materialise(prints.join(heads, ["h1", "h2"]).select("id", "pid"))
-    at = F.transform("vec", lambda x: F.floor(x / F.lit(side)))
+    at = F.transform("vec", lambda x: F.floor(x / F.lit(side)).cast("double"))
     points = materialise(
         base.withColumnRenamed("id", "pid").join(heads.select("pid", "w"), "pid")
-        .withColumn("at", at).withColumn("cell", F.array_join(F.col("at").cast("array<string>"), ","))
+        .withColumn("at", at).withColumn("cell", F.array_join(F.col("at").cast("array<bigint>").cast("array<string>"), ","))
     )
     cells = materialise(points.groupBy("cell").agg(F.first("at").alias("at"), (F.sum("w") >= min_samples).alias("full")))
     near = materialise(_cell_pairs(cells, side, eps, dims))
@@ -120,9 +128,10 @@ def dbscan(features: DataFrame, eps: float = 0.5, min_samples: int = 5, scale: b
 
     # Neighbours of the thin cells' points.
     around = thin.select(F.col("pid").alias("p"), F.col("vec").alias("pv"), F.col("cell").alias("a")).join(near, "a")
+    around = around.repartition(width(near), "p")
     close = materialise(
         around.join(points.select(F.col("pid").alias("q"), F.col("vec").alias("qv"), F.col("w").alias("qw"), F.col("cell").alias("b")), "b")
-        .filter(_within("pv", "qv", eps)).select("p", "a", "q", "b", "qw")
+        .filter(_squared("pv", "qv", dims) <= F.lit(eps * eps)).select("p", "a", "q", "b", "qw")
     )
     thin_core = close.groupBy(F.col("p").alias("pid")).agg(F.sum("qw").alias("n")).filter(F.col("n") >= min_samples).select("pid")
     core = materialise(in_full.select("pid", "cell").unionByName(thin.join(thin_core, "pid", "left_semi").select("pid", "cell")))

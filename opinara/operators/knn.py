@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from opinara.functions.vectors import as_doubles, l2_normalise, norm
 from opinara.operators.scores import expand_classes, place_members
 from opinara.operators.toprows import seeded_sample, top_n_per_key
-from opinara.session import materialise
+from opinara.session import materialise, width
 
 CHUNK = 2048
 MAX_PIVOTS = 1024
@@ -87,6 +87,8 @@ def search_cells(queries: DataFrame, items: DataFrame, k: int, metric: str, chun
     qt, it = dict(queries.dtypes)["query"], dict(items.dtypes)["item"]
     keys = ["cell", "qp", "ip"]
     search = _chunk_search(k, metric)
+    tasks = max(width(queries), width(items))
+    q, x = q.repartition(tasks, *keys), x.repartition(tasks, *keys)
     return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(
         lambda a, b: search(a, b), schema=f"query {qt}, item {it}, score double"
     )

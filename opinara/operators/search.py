@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions.text import tokens
 from opinara.operators.toprows import top_n_per_key
-from opinara.session import materialise
+from opinara.session import materialise, spread
 
 K1, B = 1.2, 0.75
 
@@ -29,7 +29,7 @@ def keyword_search(docs: DataFrame, id_col: str, text_col: str, queries: dict[st
     words = tokens(F.coalesce(F.col(text_col), F.lit("")))
     # Tokenised once: length and query words of every document, both small.
     seen = materialise(
-        docs.select(F.col(id_col).alias("doc"), words.alias("w")).select(
+        spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("doc"), words.alias("w")).select(
             "doc", F.size("w").alias("len"), F.filter("w", lambda t: t.isin(*terms)).alias("m")
         )
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,14 +37,16 @@ def rows_of_sampled_keys(df: DataFrame, id_col: str, n: int, seed: int = 42) ->
     return df.join(keys, id_col, "left_semi")
 
 
-def row_at_position(keys: DataFrame, order: list[str], position: int):
+def row_at_position(keys: DataFrame, order: list[str], position: Callable[[int], int]):
     """The row at a 0-based position of the global order, or None past the end.
 
+    `position` receives the number of rows.
     Rows are range-partitioned on the order columns, counted per range, and only
     the range that holds the position is sorted. Pass key columns only.
     """
     ranged = materialise(keys.select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     counts = ranged.groupBy("_range").count().orderBy("_range").collect()  # one row per partition
+    position = position(sum(row["count"] for row in counts))
     before = 0
     for row in counts:
         if position < before + row["count"]:
@@ -84,8 +88,7 @@ def temporal_split(reviews: DataFrame, order: list[str], test_size: float = 0.2)
     Only the key columns are sorted to find the first test row; the wide rows are
     then filtered in place.
     """
-    n = reviews.count()
-    cut = row_at_position(reviews, order, int(n * (1 - test_size)))
+    cut = row_at_position(reviews, order, lambda n: int(n * (1 - test_size)))
     if cut is None:
         return reviews, reviews.limit(0)
     first = before_row(cut, order)

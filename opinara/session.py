@@ -54,3 +54,14 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/opinara-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def width(df: DataFrame) -> int:
+    """Partitions for work that is heavy per row: those of `df`, at least one per core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a small input; an input with enough partitions is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -51,14 +51,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, on_bad_line
         out = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
         out = out.limit(limit) if limit is not None else out
     else:
+        # Lines are parsed by expression: the JSON reader refuses plans that only look at `_bad`.
         with_bad = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-        out = (
-            spark.read.schema(with_bad)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", BAD)
-            .json(path)
-        )
-        out = out.limit(limit) if limit is not None else out
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+        lines = spark.read.text(path).filter(F.trim("value") != "")
+        lines = lines.limit(limit) if limit is not None else lines
+        out = lines.select(F.from_json("value", with_bad, options).alias("r")).select("r.*")
         if on_bad_line == "skip":
             out = out.filter(F.col(BAD).isNull()).drop(BAD)
         elif on_bad_line != "keep":
