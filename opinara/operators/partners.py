@@ -4,11 +4,15 @@ Similar users share items; similar items share users. The plain self-join on
 the key costs the square of the key's rows, so keys are split by size:
 
 * Keys with at most `hot_limit` rows are self-joined. The join emits at most
-  `hot_limit` rows per input row.
-* Rows of hot keys are never joined row by row. What an entity holds of the hot
-  keys is its pattern; entities with equal patterns are interchangeable as far
-  as those keys go. Patterns are compared with patterns, each pattern keeps its
-  best `k + 1` members, and every entity takes the list of its own pattern.
+  `hot_limit` rows per input row. What the pairs found share of the hot keys is
+  looked up pair by pair.
+* A query whose `k`-th partner already beats anything that shares hot keys only
+  is done.
+* For the other queries the rows of hot keys are still not joined row by row.
+  What an entity holds of the hot keys is its pattern; entities with equal
+  patterns are interchangeable as far as those keys go. Patterns are compared
+  with patterns, each pattern keeps its best `k + 1` members, and every entity
+  takes the list of its own pattern.
 
 An entity outside the candidates shares no small key with the query and has
 `k` better members ahead of it in its pattern, so the result is exact.
@@ -25,6 +29,7 @@ from opinara.operators.toprows import hot_keys, top_n_per_key
 from opinara.session import materialise
 
 HOT_LIMIT = 2_000
+SLACK = 1e-8  # scores are rounded before ranking
 
 
 def _side(df: DataFrame, entity: str, key: str, value: str, attrs: list[str], s: str) -> DataFrame:
@@ -69,6 +74,8 @@ def top_partners(
     members: list[Column] | None = None,
     attrs: list[str] | None = None,
     pattern_attrs: list[str] | None = None,
+    lead: Column | None = None,
+    bound: Column | None = None,
     hot_limit: int = HOT_LIMIT,
 ) -> DataFrame:
     """The best `k` partners of every entity: `a_id`, `b_id`, the sums, `rank`.
@@ -79,7 +86,9 @@ def top_partners(
     score of one query alike, with None it must not appear, unless it is one of
     `pattern_attrs`: entities then share a pattern only if these are equal too.
     `members` ranks entities with equal sums by their `b_` attributes. The
-    partner id is always the last sort column.
+    partner id is always the last sort column. `lead` is the score the order
+    opens with; `bound`, over an entity's sums with itself on the hot keys and
+    its plain attributes, is the most `lead` can be without a shared small key.
     """
     attrs, same = attrs or [], pattern_attrs or []
     hot = hot_keys(edges, [key], hot_limit)
@@ -91,7 +100,21 @@ def top_partners(
 
     edges = materialise(edges)
     small = edges.join(hot, key, "left_anti")
-    large = edges.join(hot, key, "left_semi")
+    large = materialise(edges.join(hot, key, "left_semi"))
+
+    # Pairs with a shared small key, completed by what they share of the hot keys.
+    found = materialise(_joined_sums(small, entity, key, value, attrs, sums))
+    a, b = _side(large, entity, key, value, [], "a"), _side(large, entity, key, value, [], "b")
+    hot_part = (
+        found.select("a_id", "b_id").join(a, "a_id").join(b, ["b_id", "_key"]).groupBy("a_id", "b_id")
+        .agg(*[F.sum(fn(F.col("a_value"), F.col("b_value"))).alias(f"_{n}") for n, fn in sums.items()])
+    )
+    pairs = found.join(hot_part, ["a_id", "b_id"], "left").select(
+        "a_id", "b_id", *[f"{s}_{c}" for s in ("a", "b") for c in attrs],
+        *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in names],
+    )
+    pairs = materialise(_both_directions(pairs, attrs, names))
+    first = materialise(top_n_per_key(pairs, ["a_id"], [*order("a"), *tie], k))
 
     # Order-free 128-bit fingerprint of what an entity holds of the hot keys.
     of = materialise(
@@ -101,31 +124,22 @@ def top_partners(
                 *[F.first(c) for c in same],
             ).alias("pattern"),
             *[F.first(c).alias(c) for c in attrs],
+            *[F.sum(fn(F.col(value), F.col(value))).alias(n) for n, fn in sums.items()],
         )
     )
+    query = of
+    if lead is not None and bound is not None:
+        kth = first.filter(F.col("rank") == k).select(F.col("a_id").alias("id"), lead.alias("_kth"))
+        query = of.join(kth, "id", "left").filter(F.col("_kth").isNull() | (F.col("_kth") <= bound + SLACK)).drop("_kth")
+    query = materialise(query.select(F.col("id").alias("a_id"), F.col("pattern").alias("pa"), *[F.col(c).alias(f"a_{c}") for c in attrs]))
+
+    # Best members of every pattern for every open pattern, then for every open entity of it.
     reps = of.groupBy("pattern").agg(F.min("id").alias(entity))
-    rep_rows = large.join(reps, entity).select("pattern", key, value)
-    x = rep_rows.select(F.col("pattern").alias("pa"), key, F.col(value).alias("va"))
+    rep_rows = materialise(large.join(reps, entity).select("pattern", key, value))
+    open_pattern = query.select(F.col("pa").alias("pattern")).distinct()
+    x = rep_rows.join(open_pattern, "pattern", "left_semi").select(F.col("pattern").alias("pa"), key, F.col(value).alias("va"))
     y = rep_rows.select(F.col("pattern").alias("pb"), key, F.col(value).alias("vb"))
-    pattern_sums = materialise(
-        x.join(y, key).groupBy("pa", "pb").agg(*[F.sum(fn(F.col("va"), F.col("vb"))).alias(n) for n, fn in sums.items()])
-    )
-
-    # Pairs with a shared small key, completed by what they share of the hot keys.
-    pairs = _joined_sums(small, entity, key, value, attrs, sums)
-    hot_part = pattern_sums.select("pa", "pb", *[F.col(n).alias(f"_{n}") for n in names])
-    pairs = (
-        pairs.join(of.select(F.col("id").alias("a_id"), F.col("pattern").alias("pa")), "a_id", "left")
-        .join(of.select(F.col("id").alias("b_id"), F.col("pattern").alias("pb")), "b_id", "left")
-        .join(hot_part, ["pa", "pb"], "left")
-        .select(
-            "a_id", "b_id", *[f"{s}_{c}" for s in ("a", "b") for c in attrs],
-            *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in names],
-        )
-    )
-    pairs = materialise(_both_directions(pairs, attrs, names))
-
-    # Best members of every pattern for every pattern, then for every entity of it.
+    pattern_sums = x.join(y, key).groupBy("pa", "pb").agg(*[F.sum(fn(F.col("va"), F.col("vb"))).alias(n) for n, fn in sums.items()])
     member = of.select(F.col("id").alias("b_id"), F.col("pattern").alias("pb"), *[F.col(c).alias(f"b_{c}") for c in attrs])
     best = top_n_per_key(member, ["pb"], [*(members or []), *tie], k + 1).drop("rank")
     matched = pattern_sums.join(best, "pb")
@@ -133,7 +147,6 @@ def top_partners(
         own = of.groupBy(F.col("pattern").alias("pa")).agg(*[F.first(c).alias(f"a_{c}") for c in same])
         matched = matched.join(own, "pa")
     lists = top_n_per_key(matched, ["pa"], [*order(None), *tie], k + 1).drop("rank", "pb", *[f"a_{c}" for c in same])
-    query = of.select(F.col("id").alias("a_id"), F.col("pattern").alias("pa"), *[F.col(c).alias(f"a_{c}") for c in attrs])
     by_pattern = query.join(lists, "pa").filter(F.col("a_id") != F.col("b_id")).drop("pa")
     only_hot = by_pattern.join(pairs.select("a_id", "b_id"), ["a_id", "b_id"], "left_anti")
-    return top_n_per_key(pairs.unionByName(only_hot), ["a_id"], [*order("a"), *tie], k)
+    return top_n_per_key(first.drop("rank").unionByName(only_hot), ["a_id"], [*order("a"), *tie], k)

@@ -45,6 +45,7 @@ def cosine_neighbours(ratings: DataFrame, k: int, entity: str = "user_id", key:
     best = top_partners(
         edges, k, entity=entity, key=key, value="rating", attrs=["norm"], order=_cosine,
         sums={"dot": lambda a, b: a * b}, members=[F.asc(F.round("b_norm", 9))], hot_limit=hot_limit,
+        lead=F.col("dot") / (F.col("b_norm") * F.col("a_norm")), bound=F.sqrt("dot") / F.col("norm"),
     )
     sim = F.round(F.col("dot") / (F.col("b_norm") * F.col("a_norm")), 9)
     return best.select(F.col("a_id").alias(entity), F.col("b_id").alias("neighbour"), sim.alias("similarity"), "rank")

@@ -51,7 +51,8 @@ def similar_by_words(docs: DataFrame, id_col: str, text_col: str, k: int = 10, h
 
     best = top_partners(
         heads, k, entity="item", key="dim", value="iw", attrs=["size"], pattern_attrs=["size"], sums={"common": lambda a, b: F.lit(1)},
-        members=[F.asc("b_size")], order=order, hot_limit=hot_limit,
+        members=[F.asc("b_size")], order=order, lead=F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")),
+        bound=F.col("common") / F.col("size"), hot_limit=hot_limit,
     )
     score = F.round(F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")), 9)
     ranked = best.select(F.col("a_id").alias("query"), F.col("b_id").alias("class"), score.alias("score"))
