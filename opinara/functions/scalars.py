@@ -114,3 +114,9 @@ def cosine_to_unit(s: Column | str) -> Column:
 
 def r6(value: Column | str) -> Column:
     return F.round(col_of(value).cast("double"), 6)
+
+
+def fixed(value: Column | str, digits: int = 9) -> Column:
+    """Non-negative value to `digits` decimals, halves up; compiles, unlike `round` on doubles."""
+    unit = float(10 ** digits)
+    return F.floor(col_of(value) * unit + 0.5) / unit

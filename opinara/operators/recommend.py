@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinara.functions.scalars import fixed
 from opinara.operators.partners import HOT_LIMIT, top_partners
 from opinara.operators.scores import copy_classes, expand_classes, top_scores
 from opinara.operators.toprows import hot_keys, top_n_per_key
@@ -36,7 +37,7 @@ def with_norm(ratings: DataFrame, entity: str) -> DataFrame:
 
 def _cosine(a: str | None) -> list[Column]:
     scale = F.col("b_norm") * (F.col("a_norm") if a else F.lit(1.0))
-    return [F.desc(F.round(F.col("dot") / scale, 9))]
+    return [F.desc(fixed(F.col("dot") / scale))]
 
 
 def cosine_neighbours(ratings: DataFrame, k: int, entity: str = "user_id", key: str = "item_id", hot_limit: int = HOT_LIMIT) -> DataFrame:
@@ -47,7 +48,7 @@ def cosine_neighbours(ratings: DataFrame, k: int, entity: str = "user_id", key:
         sums={"dot": lambda a, b: a * b}, members=[F.asc(F.round("b_norm", 9))], hot_limit=hot_limit,
         lead=F.col("dot") / (F.col("b_norm") * F.col("a_norm")), bound=F.sqrt("dot") / F.col("norm"),
     )
-    sim = F.round(F.col("dot") / (F.col("b_norm") * F.col("a_norm")), 9)
+    sim = fixed(F.col("dot") / (F.col("b_norm") * F.col("a_norm")))
     return best.select(F.col("a_id").alias(entity), F.col("b_id").alias("neighbour"), sim.alias("similarity"), "rank")
 
 
@@ -175,7 +176,7 @@ def _class_scores(profile: DataFrame, heads: DataFrame, rated: DataFrame, member
     seen = rated.join(members.filter(F.col("place") == 0), "item").select("query", F.col("class").alias("item"))
     also = (
         seen.join(profile, "query").join(heads, ["item", "dim"]).groupBy("query", "item")
-        .agg(F.round(F.sum(F.col("qw") * F.col("iw")), 9).alias("score")).filter(F.col("score") > 0)
+        .agg(fixed(F.sum(F.col("qw") * F.col("iw"))).alias("score")).filter(F.col("score") > 0)
     )
     return top.unionByName(also.select("query", F.col("item").alias("class"), "score"))
 
@@ -194,7 +195,7 @@ def recommend_hybrid(user_based: DataFrame, content: DataFrame, alpha: float = 0
     u = user_based.select("user_id", "item_id", F.col("score").alias("u"))
     c = content.select("user_id", "item_id", F.col("score").alias("c"))
     score = F.lit(alpha) * F.coalesce("u", F.lit(0.0)) + F.lit(1 - alpha) * F.coalesce("c", F.lit(0.0))
-    both = u.join(c, ["user_id", "item_id"], "full").select("user_id", "item_id", F.round(score, 10).alias("score"))
+    both = u.join(c, ["user_id", "item_id"], "full").select("user_id", "item_id", fixed(score, 10).alias("score"))
     return top_n_per_key(both, ["user_id"], [F.desc("score"), F.asc("item_id")], n)
 
 

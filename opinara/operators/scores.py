@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.functions.scalars import fixed
 from opinara.operators.toprows import hot_keys, top_n_per_key
 from opinara.session import materialise
 
@@ -49,7 +50,7 @@ def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame
     hot = hot_keys(items, ["dim"], hot_limit)
     if hot is None:
         out = _summed(_products(queries, items), exclude)
-        return _ranked(out.withColumn("score", F.round("score", digits)), k)
+        return _ranked(out.withColumn("score", fixed("score", digits)), k)
 
     queries, items = materialise(queries), materialise(items)
     q_hot, i_hot = queries.join(hot, "dim", "left_semi"), materialise(items.join(hot, "dim", "left_semi"))
@@ -75,11 +76,11 @@ def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame
             .select("query", "item", (F.col("qw") * F.col("iw")).alias("s"))
         )
         parts = hot_sums.unionByName(base.join(cands, ["query", "item"], "left_semi").select("query", "item", F.col("score").alias("s")))
-        scored = parts.groupBy("query", "item").agg(F.round(F.sum("s"), digits).alias("score")).filter(F.col("score") > 0)
+        scored = parts.groupBy("query", "item").agg(fixed(F.sum("s"), digits).alias("score")).filter(F.col("score") > 0)
         top = materialise(_ranked(scored, k))
         # Highest score an item outside every list can reach, and the lowest id it can have.
         bound = mine.join(ends, "dim").groupBy("query").agg(
-            F.round(F.sum(F.col("qw") * F.col("end_w")), digits).alias("bound"), F.max("end_item").alias("after")
+            fixed(F.sum(F.col("qw") * F.col("end_w")), digits).alias("bound"), F.max("end_item").alias("after")
         )
         last = top.filter(F.col("rank") == k).select("query", F.col("score").alias("kth"), F.col("item").alias("kth_item"))
         state = open_q.join(bound, "query", "left").join(last, "query", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions.scalars import ellipsis, score_cell
+from opinara.functions.scalars import ellipsis, fixed, score_cell
 from opinara.functions.text import tokens
 from opinara.operators.partners import HOT_LIMIT, top_partners
 from opinara.operators.scores import copy_classes, expand_classes, top_scores
@@ -47,14 +47,14 @@ def similar_by_words(docs: DataFrame, id_col: str, text_col: str, k: int = 10, h
     heads = materialise(sets.join(members.filter(F.col("place") == 0), "item", "left_semi"))
 
     def order(a: str | None):
-        return [F.desc(F.round(F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")), 9))]
+        return [F.desc(fixed(F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common"))))]
 
     best = top_partners(
         heads, k, entity="item", key="dim", value="iw", attrs=["size"], pattern_attrs=["size"], sums={"common": lambda a, b: F.lit(1)},
         members=[F.asc("b_size")], order=order, lead=F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")),
         bound=F.col("common") / F.col("size"), hot_limit=hot_limit,
     )
-    score = F.round(F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")), 9)
+    score = fixed(F.col("common") / (F.col("a_size") + F.col("b_size") - F.col("common")))
     ranked = best.select(F.col("a_id").alias("query"), F.col("b_id").alias("class"), score.alias("score"))
     own = heads.select(F.col("item").alias("query"), F.col("item").alias("class"), F.lit(1.0).alias("score")).distinct()
     return for_members(expand_classes(ranked.unionByName(own), members, k + 1), members, k)
@@ -79,7 +79,7 @@ def hybrid_score(first: DataFrame, second: DataFrame, k: int = 5, weight: float
     a = first.select("query_id", "neighbour_id", F.col("similarity").alias("a"))
     b = second.select("query_id", "neighbour_id", F.col("similarity").alias("b"))
     s = F.lit(weight) * F.coalesce("a", F.lit(0.0)) + F.lit(1 - weight) * F.coalesce("b", F.lit(0.0))
-    both = a.join(b, ["query_id", "neighbour_id"], "full").select("query_id", "neighbour_id", F.round(s, 10).alias("similarity"))
+    both = a.join(b, ["query_id", "neighbour_id"], "full").select("query_id", "neighbour_id", fixed(s, 10).alias("similarity"))
     return top_n_per_key(both, ["query_id"], [F.desc("similarity"), F.asc("neighbour_id")], k)
 
 
