@@ -9,7 +9,6 @@ from opinara.functions.text import clean_text
 from opinara.operators import clean as C
 from opinara.operators import profile as P
 from opinara.plans.registry import query
-from opinara.sources.tables import with_views
 
 # The cleaning rule in the oracle's regex dialect.
 SQL_CLEAN = r"""trim(regexp_replace(regexp_replace(trim(regexp_replace(coalesce({c}, ''),

@@ -12,7 +12,7 @@ from opinara.operators.knn import nearest_neighbours
 from opinara.operators.lookups import with_review_stats
 from opinara.operators.tfidf import latent_reduction, tfidf
 from opinara.plans.registry import query
-from opinara.plans.text import DOCS_TFIDF, title_features
+from opinara.plans.text import DOCS_TFIDF
 from opinara.sources.tables import with_views
 
 PATTERN_SQL = """SELECT user_id, avg(rating) AS avg_rating, coalesce(stddev_samp(rating), 0) AS rating_std, count(rating) AS review_count,

@@ -5,7 +5,6 @@ from collections import defaultdict
 from math import sqrt
 
 import pytest
-from pyspark.sql import functions as F
 
 from opinara.operators import graph as G
 from opinara.operators import recommend as R
