@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opinara.llm import substrings
+from opinara.llm import mixing, sharding, substrings
 
 SQL: dict[str, str] = {}
 
@@ -15,6 +16,53 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op5_golden_mix"] = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '')) AS ticket
+  FROM documents
+), w AS (
+  SELECT source, source_size, 3 * source_size AS cap,
+         ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)
+), r AS (
+  SELECT *, (SELECT sum(source_size) FROM w)::BIGINT
+              - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS remains,
+         (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS weights
+  FROM w WINDOW o AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST)
+), f AS (
+  SELECT *, cap * weights <= remains * weight AS full_ FROM r
+), t AS (
+  SELECT source, source_size,
+         CASE WHEN full_ THEN cap::DOUBLE
+              ELSE ((SELECT max(remains) FROM f WHERE NOT full_) * weight)::DOUBLE / (SELECT max(weights) FROM f WHERE NOT full_)
+         END AS target
+  FROM f
+), p AS (
+  SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS goal,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY ticket, doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       (CASE WHEN size = 0 THEN 0
+             ELSE goal // source_size * size + greatest(0, least(size, goal % source_size - start)) END)::BIGINT AS taken
+FROM p
+"""
+
+
+def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return sharding.shard_by_bytes(docs, 40).select(
+        "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_debruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeated_spans(_table(spark, sf_dir, "documents"), window=20, keep_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
