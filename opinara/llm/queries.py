@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import mixing, sharding, substrings
+from opinara.llm import mixing, sharding, substrings, warc
+from opinara.session import shared_folder
 
 SQL: dict[str, str] = {}
 
@@ -63,6 +65,25 @@ def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, min_revisit=1000)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op9_seekable_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS keep FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < keep THEN keep END AS refers_to
+FROM m
+"""
+
+
 def op10_debruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeated_spans(_table(spark, sf_dir, "documents"), window=20, keep_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
