@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import mixing, sharding, substrings, warc
+from opinara.llm import mixing, ngram_join, sharding, substrings, warc
 from opinara.session import shared_folder
 
 SQL: dict[str, str] = {}
@@ -18,6 +18,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.8, n=5).select("doc_id", "class_id", "n_links")
+
+
+SQL["op2_minhash_jaccard"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM w WHERE len(w) > 0
+), g AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS gram FROM s
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 5 * c >= 4 * (nx.n + ny.n - c)
+), r AS (
+  SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y
+), class AS (
+  SELECT x AS doc_id, least(x, min(y)) AS class_id FROM r GROUP BY x
+), degree AS (
+  SELECT x AS doc_id, count(*) AS n_links FROM l GROUP BY x
+)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN class USING (doc_id) LEFT JOIN degree USING (doc_id)
+"""
+
+
 def op5_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return documents.select("doc_id", "size", "source_size", "target", "taken")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.tokens import Tokenizer, sliding, space_table, window_hashes, windows_inside
+from opinara.llm.tokens import Tokenizer, mix, sliding, space_table, window_hashes, windows_inside
 
 FIRST, SECOND = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 BLOCK_BYTES = 16 << 20
@@ -67,12 +67,15 @@ class _Block:
             yield w, ok
 
     def seeds_of(self, w, ok):
-        """The seed of each window (0 where there is none), and the seeds chosen at each place."""
+        """The seed of each window (mixed 0 where there is none), and the seeds chosen at each place.
+
+        Least hashes are small numbers; mixed again they spread evenly over buckets."""
         span = self.window - self.seed + 1
         grams = window_hashes(w.hashes, self.seed, FIRST) | np.uint64(1)
         least = np.where(ok, sliding(grams, span, np.minimum), np.uint64(0))
         padded = np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)])
-        return least, grams[sliding(padded, span, np.maximum)[:len(grams)] == grams] if len(least) else grams[:0]
+        chosen = grams[sliding(padded, span, np.maximum)[:len(grams)] == grams] if len(least) else grams[:0]
+        return mix(least), mix(chosen)
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct seeds, and how often each was chosen."""
