@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import mixing, ngram_join, sharding, substrings, warc
+from opinara.llm import langid, mixing, ngram_join, quality, sharding, substrings, warc
+from opinara.llm.common import learned
 from opinara.session import shared_folder
 
 SQL: dict[str, str] = {}
@@ -18,6 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lsa_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = learned("doc_id", 3, 1)
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), learn=~held_out)
+    return quality.score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op2_minhash_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.8, n=5).select("doc_id", "class_id", "n_links")
 
@@ -48,6 +56,13 @@ FROM documents LEFT JOIN class USING (doc_id) LEFT JOIN degree USING (doc_id)
 """
 
 
+def op3_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = learned("doc_id", 5, 0)
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs, learn=~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return documents.select("doc_id", "size", "source_size", "target", "taken")
