@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import langid, mixing, ngram_join, quality, sharding, substrings, warc
+from opinara.llm import ann, langid, mixing, ngram_join, quality, sharding, substrings, warc
 from opinara.llm.common import learned
 from opinara.session import shared_folder
 
@@ -110,6 +110,10 @@ def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10, recall=0.97)
+
+
 def op9_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archives(_table(spark, sf_dir, "pages"), path, min_revisit=1000)
