@@ -264,9 +264,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     candidates = materialise(candidate_links(sketch, buckets))
     nodes = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     component = connected_components(nodes, candidates).withColumnRenamed("node", "k")
-    sets = sketch.join(component, "k").groupBy("k").agg(
-        F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("component").alias("component"))
-    sets = materialise(sets)
+    every = materialise(sketch.filter("k is not null").groupBy("k").agg(
+        F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    sets = materialise(every.join(component, "k").drop("first"))
     sizes = sets.groupBy("component").agg(F.greatest(F.ceil(F.sum("n") / CHUNK_GRAMS), F.ceil(F.count("*") / CHUNK_SETS)).cast("int").alias("parts"), F.sum("n").alias("grams"))
     bins = F.lit(max(buckets, -(-(sets.agg(F.sum("n")).first()[0] or 0) // CHUNK_GRAMS)))
     cut = sets.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
@@ -281,8 +281,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     ends = forest.select(F.col("a").alias("node")).union(forest.select("b")).distinct()
     classes = connected_components(ends, forest).select(F.col("node").alias("k"), F.col("component").alias("class"))
     links = found.filter("b is null").groupBy(F.col("a").alias("k")).agg(F.sum("links").alias("links"))
-    copies = sketch.filter("k is not null").groupBy("k").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    named = copies.join(classes, "k", "left").join(links, "k", "left").withColumn("class", F.coalesce("class", "k"))
+    named = every.select("k", "first", "copies").join(classes, "k", "left").join(links, "k", "left").withColumn("class", F.coalesce("class", "k"))
     least = named.groupBy("class").agg(F.min("first").alias("class_id"))
     named = named.join(least, "class").select("k", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return sketch.select("doc_id", "text_key", "k").join(named, "k", "left").select(

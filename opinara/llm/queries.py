@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import ann, langid, mixing, ngram_join, quality, sharding, substrings, warc
+import corpus_pipeline
+from opinara.llm import ann, decontaminate, langid, lm, mixing, ngram_join, quality, sharding, substrings, warc
 from opinara.llm.common import learned
 from opinara.session import shared_folder
 
@@ -63,6 +64,11 @@ def op3_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.fit(docs))
+
+
 def op5_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return documents.select("doc_id", "size", "source_size", "target", "taken")
@@ -110,6 +116,11 @@ def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), max_edit=0.2)
+    return found.select("doc_id", "item_id", "item_words", "edits", "start", "words")
+
+
 def op8_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10, recall=0.97)
 
@@ -164,8 +175,9 @@ FROM words w LEFT JOIN kept k USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2:3].isdigit()}
+    numbered = {name: fn for name, fn in globals().items() if name.startswith("op") and name[2:3].isdigit()}
+    return numbered | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
