@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.llm import decontaminate, langid, mixing, ngram_join, sharding
+from opinara.llm.common import fresh
 from opinara.session import materialise
 
 SHARDS = 40
@@ -42,10 +43,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A part of a document's words is taken only where a source's words end inside it.
     """
     taken, _ = mixing.mix_sources(docs)
-    times = taken.filter("taken > 0").groupBy(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size")) \
-        .agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("times"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("mix_id")) & docs["source"].cast("string").eqNullSafe(F.col("mix_source")) & (mixing.word_count() == F.col("mix_size"))
-    return docs.join(times, same).withColumn("copy_", F.explode(F.sequence(F.lit(1), "times"))).select(*(docs[c] for c in docs.columns))
+    i, source, size, times = (fresh(docs, c) for c in ("mix_id", "mix_source", "mix_size", "mix_times"))
+    often = taken.filter("taken > 0").groupBy(F.col("doc_id").alias(i), F.col("source").alias(source), F.col("size").alias(size)) \
+        .agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias(times))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(i)) & docs["source"].cast("string").eqNullSafe(F.col(source)) & (mixing.word_count() == F.col(size))
+    return docs.join(often, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), times)).alias(times)).drop(times)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,14 @@ def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *(v.alias(k) for k, v in columns.items()))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or the first of it with underscores added that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def learned(key: str, modulus: int, remainder: int) -> Column:
     """crc32 of the id's decimal text, modulo `modulus`, equals `remainder`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus == remainder

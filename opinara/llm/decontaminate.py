@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.common import fresh
 from opinara.llm.tokens import Tokenizer, mix, non_word_table
 
 TABLES, SAMPLES, MAX_EDIT = 32, 3, 0.2
@@ -214,6 +215,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT) -> DataFrame:
     """`docs` without the documents that hold a benchmark item; all columns are kept."""
-    leaks = find_leaks(docs, benchmark, max_edit).select(F.col("doc_id").alias("leak_id_"), F.col("text_key").alias("leak_key_")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("leak_id_")) & (F.xxhash64(docs["text"].cast("string")) == F.col("leak_key_"))
+    i, k = fresh(docs, "leak_id"), fresh(docs, "leak_key")
+    leaks = find_leaks(docs, benchmark, max_edit).select(F.col("doc_id").alias(i), F.col("text_key").alias(k)).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(docs["text"].cast("string")) == F.col(k))
     return docs.join(leaks, same, "left_anti")

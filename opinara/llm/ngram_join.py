@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.common import with_columns
+from opinara.llm.common import fresh
 from opinara.llm.tokens import Tokenizer, mix, space_table, window_hashes, windows_inside
 from opinara.operators.dbscan import connected_components
 from opinara.session import materialise
@@ -135,7 +135,7 @@ def _meet(table: pa.Table) -> pa.Table:
     head = np.concatenate([[True], band[1:] != band[:-1]])
     hub = sets[head][np.cumsum(head) - 1]
     keep = hub.tobytes(), sets.tobytes()
-    pairs = np.unique(np.stack([np.frombuffer(x, ">u8").reshape(-1, 2) for x in keep], 1)[~head].reshape(-1, 4), axis=0) if not head.all() else np.empty((0, 4), ">u8")
+    pairs = np.unique(np.stack([np.frombuffer(x, np.uint64).reshape(-1, 2) for x in keep], 1)[~head].reshape(-1, 4), axis=0) if not head.all() else np.empty((0, 4), np.uint64)
     a, b = np.ascontiguousarray(pairs[:, :2]), np.ascontiguousarray(pairs[:, 2:])
     return pa.table({"a": pa.array([x.tobytes() for x in a], pa.binary()), "b": pa.array([x.tobytes() for x in b], pa.binary())})
 
@@ -293,10 +293,11 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> DataFrame:
 
     Texts without words are no duplicates and stay. Of repeated rows one stays. All columns are kept.
     """
+    i, k, row = (fresh(docs, c) for c in ("keep_id", "keep_key", "keep_row"))
     found = near_duplicates(docs, threshold, n)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id_"), F.col("text_key").alias("key_")).distinct()
-    keyed = with_columns(docs, id_=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), key_=F.xxhash64(F.col("text").cast("string")))
-    place = Window.partitionBy("id_", "key_").orderBy(F.lit(0))
+    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias(i), F.col("text_key").alias(k)).distinct()
+    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(i), F.xxhash64(F.col("text").cast("string")).alias(k))
+    place = Window.partitionBy(i, k).orderBy(F.lit(0))
     blank = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]")) == 0
-    one = keyed.join(stays, ["id_", "key_"], "left_semi").withColumn("row_", F.row_number().over(place)).filter((F.col("row_") == 1) | blank)
+    one = keyed.join(stays, [i, k], "left_semi").withColumn(row, F.row_number().over(place)).filter((F.col(row) == 1) | blank)
     return one.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.common import with_columns
+from opinara.llm.common import fresh, with_columns
 from opinara.session import materialise
 
 KEY_BYTES = 24
@@ -126,8 +126,9 @@ def shard_by_bytes(docs: DataFrame, shards: int, tolerance: float = 0.0, text: s
     with empty ones; a null doc_id sorts first; repeated rows may fall on either side of a
     boundary; an empty table gives an empty result; input columns of the new names are replaced.
     """
-    docs = with_columns(docs, size=size_column(text), sort_key=key_column(text, doc_id))
-    slim = materialise(docs.select(F.col("sort_key").alias("key"), "size"))
+    key, part = fresh(docs, "sort_key"), fresh(docs, "part")
+    docs = with_columns(docs, **{"size": size_column(text), key: key_column(text, doc_id)})
+    slim = materialise(docs.select(F.col(key).alias("key"), "size"))
     rows = slim.count()
     parts = shards * max(1, -(-rows // (shards * part_rows)))
     cuts = splitters(slim, parts, tolerance, probes)
@@ -140,9 +141,9 @@ def shard_by_bytes(docs: DataFrame, shards: int, tolerance: float = 0.0, text: s
     each = parts // shards
     starts = [0, *(c.rows for c in cuts)]
     shift = F.array(*(F.lit(starts[p] - starts[p - p % each]).cast("long") for p in range(parts)))
-    window = Window.partitionBy("part").orderBy("sort_key")
-    placed = with_columns(docs, part=part_of("sort_key"))
+    window = Window.partitionBy(part).orderBy(key)
+    placed = docs.withColumn(part, part_of(key))
     slot = F.row_number().over(window).cast("long") - 1
     if each > 1:
-        slot = slot + F.element_at(shift, F.col("part") + 1)
-    return with_columns(placed, shard=F.floor(F.col("part") / each).cast("int"), slot=slot).drop("part", "sort_key")
+        slot = slot + F.element_at(shift, F.col(part) + 1)
+    return with_columns(placed, shard=F.floor(F.col(part) / each).cast("int"), slot=slot).drop(part, key)
