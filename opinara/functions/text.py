@@ -15,7 +15,7 @@ TAG = r"<[^>]+>"
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 CONTROL_AND_LATIN1 = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{ff}]"
 
-# English words ignored by the term features.
+# English words ignored by the term features; a list of our own choice.
 STOP_WORDS = (
     "a about above after again against all also am an and any are as at be because been before "
     "being below between both but by can could did do does doing down during each few for from "

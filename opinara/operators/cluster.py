@@ -5,8 +5,11 @@ Inputs are (`id`, `vector`) tables with array vectors.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,13 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.vectors import as_doubles
-from opinara.operators.toprows import seeded_sample, top_n_per_key
+from opinara.operators.toprows import top_n_per_key
 from opinara.session import materialise
 
-EXACT_SILHOUETTE_ROWS = 5000
-SILHOUETTE_SAMPLE = 1000
-MICRO_CLUSTERS = 200
 STARTS = 10
+PARALLEL_FITS = 5
 
 
 def _literal(values):
@@ -48,13 +49,12 @@ def _prepared(features: DataFrame) -> DataFrame:
 
 def _fit(data: DataFrame, k: int, starts: int, seed: int):
     """Best of several k-means starts: (inertia, centres in lexicographic order)."""
-    best = None
-    for i in range(starts):
+    def start(i: int):
         model = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    cost, model = best
+        return model.summary.trainingCost, i, model
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:  # a start is many small jobs; several keep the cluster busy
+        cost, _, model = min(pool.map(inheritable_thread_target(data.sparkSession)(start), range(starts)), key=lambda x: x[:2])
     centres = [c.tolist() for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])
     rank = {old: new for new, old in enumerate(order)}
@@ -95,46 +95,38 @@ def best_k(curve: DataFrame) -> int:
     return curve.orderBy(F.desc("silhouette"), F.asc("k")).first()["k"]
 
 
-def silhouette(labelled: DataFrame, seed: int = 42) -> float:
-    """Mean Euclidean silhouette of (`id`, `vector`, `cluster`).
+def silhouette(labelled: DataFrame) -> float:
+    """Mean silhouette of all rows of (`id`, `vector`, `cluster`) on squared Euclidean distances.
 
-    All rows up to 5,000, else a seeded sample of 1,000: the size is bounded, so
-    the compared rows travel to every task and each task scores its own.
+    The mean squared distance from x to a cluster follows from the cluster's count, vector
+    sum and sum of squares: |x|^2 + sq / n - 2 x.total / n. So one grouped pass and one pass over the rows
+    suffice; every task holds one vector per cluster. Rows are taken relative to the mean of all, which keeps the digits.
+    A row alone in its cluster counts 0; fewer than two clusters give -1.
     """
-    n = labelled.count()
-    sample = labelled if n <= EXACT_SILHOUETTE_ROWS else seeded_sample(labelled, "id", SILHOUETTE_SAMPLE, seed)
-    rows = sample.select("vector", "cluster").collect()  # at most EXACT_SILHOUETTE_ROWS rows
-    if len({r["cluster"] for r in rows}) < 2:
+    centre = labelled.agg(Summarizer.mean(array_to_vector("vector")).alias("m")).first()["m"]
+    if centre is None:
+        return -1.0
+    shifted = labelled.select("cluster", F.zip_with("vector", _literal(centre.toArray()), lambda x, c: x - c).alias("vector"))
+    sums = _cluster_sums(shifted)
+    if len(sums) < 2:
         return -1.0
-    points = np.array([r["vector"] for r in rows], dtype=np.float64)
-    names, codes, sizes = np.unique([r["cluster"] for r in rows], return_inverse=True, return_counts=True)
-    member = np.zeros((len(rows), len(names)))
-    member[np.arange(len(rows)), codes] = 1.0
+    n, total, square = np.array([r["n"] for r in sums], float), np.array([r["total"].toArray() for r in sums]), np.array([r["sq"] for r in sums])
+    place = {r["cluster"]: i for i, r in enumerate(sums)}
 
     def score(batches):
         for pdf in batches:
-            at = pdf["at"].to_numpy()
-            x, own = points[at], codes[at]
-            gap = np.sqrt(np.maximum(((x[:, None, :] - points[None, :, :]) ** 2).sum(axis=2), 0.0))
-            total = gap @ member
-            mine = total[np.arange(len(at)), own]
-            a = mine / np.maximum(sizes[own] - 1, 1)
-            mean = total / sizes[None, :]
-            mean[np.arange(len(at)), own] = np.inf
+            if not len(pdf):
+                continue
+            x, own = np.stack(pdf["vector"].to_numpy()), pdf["cluster"].map(place).to_numpy()
+            mean = np.maximum((x * x).sum(axis=1)[:, None] + square / n - 2 * (x @ total.T) / n, 0.0)
+            at = np.arange(len(x))
+            a = mean[at, own] * n[own] / np.maximum(n[own] - 1, 1)
+            mean[at, own] = np.inf
             b = mean.min(axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                s = np.where(sizes[own] > 1, (b - a) / np.maximum(a, b), 0.0)
-            yield pd.DataFrame({"s": np.nan_to_num(s)})
-
-    spark = labelled.sparkSession
-    tasks = max(1, min(len(rows) // 64, spark.sparkContext.defaultParallelism))
-    at = spark.range(0, len(rows), 1, tasks).select(F.col("id").cast("int").alias("at"))
-    return float(at.mapInPandas(lambda it: (o for b in it for o in score(_pieces(b, 64))), "s double").agg(F.avg("s")).first()[0])
-
+            most = np.maximum(a, b)
+            yield pd.DataFrame({"s": np.where((n[own] > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1), 0.0)})
 
-def _pieces(pdf: pd.DataFrame, n: int):
-    for i in range(0, len(pdf), n):
-        yield pdf.iloc[i:i + n]
+    return float(shifted.mapInPandas(score, "s double").agg(F.avg("s")).first()[0])
 
 
 def _cluster_sums(labelled: DataFrame) -> list:
@@ -203,7 +195,7 @@ def with_vectors(assigned: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def _merge_micro(centres: np.ndarray, sizes: np.ndarray, k: int, linkage: str) -> list[int]:
-    """Agglomerate at most MICRO_CLUSTERS weighted centres down to `k` groups."""
+    """Agglomerate weighted centres down to `k` groups."""
     n = len(centres)
     gap = ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
     w = sizes.astype(np.float64)
@@ -234,24 +226,14 @@ def _merge_micro(centres: np.ndarray, sizes: np.ndarray, k: int, linkage: str) -
     return [names[g] for g in group]
 
 
-def hierarchical(features: DataFrame, k: int = 5, linkage: str = "ward", seed: int = 42, micro: int = MICRO_CLUSTERS) -> DataFrame:
-    """Agglomerative clustering: (`id`, `cluster`, `feature_1`, `feature_2`).
+def hierarchical(features: DataFrame, k: int = 5, linkage: str = "ward", seed: int = 42, *, micro: int) -> DataFrame:
+    """Agglomerative clustering of micro-clusters: (`id`, `cluster`, `feature_1`, `feature_2`).
 
-    Up to `micro` distinct vectors are merged exactly. Beyond that k-means first
-    forms `micro` small clusters over all rows and their weighted centres are
-    merged, which approximates the full tree.
+    k-means forms at most `micro` small clusters over all rows, always, and their weighted centres are merged
+    down to `k` groups. `micro` is part of the definition: the tree starts from these groups, not from single
+    rows, at every size of the table. It is exact where every distinct vector is a micro-cluster of its own.
     """
     data = _prepared(standardise(features))
-    distinct = data.groupBy("vector").agg(F.count(F.lit(1)).alias("n"))
-    few = distinct.limit(micro + 1).count() <= micro
-    if few:
-        rows = distinct.orderBy("vector").collect()  # at most `micro` rows
-        centres, sizes = np.array([r["vector"] for r in rows]), np.array([r["n"] for r in rows])
-        labels = _merge_micro(centres, sizes, min(k, len(rows)), linkage)
-        table = features.sparkSession.createDataFrame(
-            [(r["vector"], int(c)) for r, c in zip(rows, labels)], "vector array<double>, cluster int"
-        )
-        return _assignment(data.join(F.broadcast(table), "vector"), features)
     model = KMeans(k=micro, seed=seed, maxIter=20).fit(data)
     assigned = model.transform(data).select("id", F.col("prediction").alias("small"))
     size = {r["small"]: r["n"] for r in assigned.groupBy("small").agg(F.count(F.lit(1)).alias("n")).collect()}  # `micro` rows

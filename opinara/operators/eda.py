@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.scalars import percent, r6
@@ -14,11 +14,10 @@ from opinara.operators.quantiles import exact_quantiles
 def value_counts(df: DataFrame, value: Column, name: str) -> DataFrame:
     """Rows per distinct value with their share in percent.
 
-    The total comes from the same small counts, as a scalar.
+    The total is the sum of the same counts: one row per distinct value passes one task.
     """
     counts = df.groupBy(value.alias(name)).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("t"))
-    return counts.withColumn("pct", r6(percent("n", total.scalar())))
+    return counts.withColumn("pct", r6(percent("n", F.sum("n").over(Window.partitionBy()))))
 
 
 def group_mean(df: DataFrame, by: Column, name: str, value: str = "rating") -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from opinara.functions import scalars as S
 from opinara.functions.vectors import as_doubles, l2_normalise, padded, scaled
-from opinara.operators.toprows import top_n_per_key
 
 METADATA = ("price", "category", "avg_rating", "rating_count", "has_description", "has_features")
 PATTERN = ("avg_rating", "rating_std", "review_count", "min_rating", "max_rating", "total_helpful", "verified_ratio", "avg_text_length")
@@ -98,18 +97,17 @@ def hybrid_truncated(terms: Column | str, text: Column | str, metadata: Column |
     return l2_normalise(F.concat(F.slice(as_doubles(terms), 1, width), F.slice(as_doubles(text), 1, width), as_doubles(metadata)))
 
 
-def user_texts(reviews: DataFrame, order: list[str], user: str = "user_id", max_chars: int = 1000) -> DataFrame:
-    """Each user's titles and texts joined in order, cut at `max_chars` as the text features define it.
+def user_texts(reviews: DataFrame, order: list[str], user: str = "user_id", max_chars: int | None = None) -> DataFrame:
+    """Each user's titles and texts joined in order; `max_chars` shortens the result where a caller wants an excerpt.
 
-    Every review adds at least two characters and a space, so only the first
-    `max_chars // 3 + 1` reviews can show up: no user's whole history is gathered.
+    The text is one value, so a user's history has to fit in one row. For text
+    features sum counts of words per user instead.
     """
     piece = F.concat(F.coalesce("title", F.lit("")), F.lit(". "), F.coalesce("text", F.lit("")))
-    rows = reviews.select(user, *order, F.substring(piece, 1, max_chars).alias("_piece"))
-    first = top_n_per_key(rows, [user], [F.asc(c) for c in order], max_chars // 3 + 1, "_n")
-    joined = first.groupBy(user).agg(F.array_sort(F.collect_list(F.struct("_n", "_piece"))).alias("_p"))
+    rows = reviews.select(user, F.struct(*order, piece.alias("_piece")).alias("_r"))
+    joined = rows.groupBy(user).agg(F.array_sort(F.collect_list("_r")).alias("_p"))
     text = F.array_join(F.transform("_p", lambda p: p["_piece"]), " ")
-    return joined.select(user, F.substring(text, 1, max_chars).alias("combined_text"))
+    return joined.select(user, (text if max_chars is None else F.substring(text, 1, max_chars)).alias("combined_text"))
 
 
 def text_embeddings(df: DataFrame, id_col: str, text_col: str, encoder: Callable[[list[str]], list[list[float]]] | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.functions.scalars import ellipsis, r6
+from opinara.operators.toprows import top_n_per_key
 
 ISSUE_NULL_RATE = 0.5
 WARNING_NULL_RATE = 0.1
@@ -65,16 +66,13 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
-def sample_values(df: DataFrame, n: int = 5, width: int = 100, rows: int = 100) -> DataFrame:
-    """Up to `n` non-null sample values per column from the first rows read, cut to `width` characters."""
-    head = df.limit(rows)
-    picks = [F.slice(F.collect_list(F.col(c).cast("string")), 1, n).alias(c) for c in df.columns]
-    one = head.agg(*picks)
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.transform(F.col(c), lambda v: ellipsis(v, width)).alias("sample_values"))
-        for c in df.columns
-    ])
-    return one.select(F.inline(cells))
+def sample_values(df: DataFrame, n: int = 5, width: int = 100) -> DataFrame:
+    """The `n` lowest distinct non-null values of each column as text, each shortened to `width` characters."""
+    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns])
+    values = df.select(F.inline(entries)).filter(F.col("value").isNotNull()).distinct()
+    lowest = top_n_per_key(values, ["column_name"], [F.asc("value")], n, "_r")
+    picked = lowest.groupBy("column_name").agg(F.array_sort(F.collect_list("value")).alias("v"))
+    return picked.select("column_name", F.transform("v", lambda v: ellipsis(v, width)).alias("sample_values"))
 
 
 def data_dictionary(df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def doc_terms(docs: DataFrame, id_col: str, text_col: str, ngrams: bool = True,
     return base.select("doc", (F.concat("_w", bigrams(F.col("_w"))) if ngrams else F.col("_w")).alias("terms"))
 
 
-def vocabulary(terms: DataFrame, n_docs, min_df: int = 2, max_df: float = 0.8, max_features: int | None = 5000) -> DataFrame:
+def vocabulary(terms: DataFrame, n_docs, min_df: int = 2, max_df: float = 0.8, max_features: int | None = None) -> DataFrame:
     """(`term`, `df`, `total`) within the document-frequency limits, the most frequent terms kept.
 
     Every document sorts its own terms and marks the first of each, so one
@@ -38,7 +38,7 @@ def vocabulary(terms: DataFrame, n_docs, min_df: int = 2, max_df: float = 0.8, m
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, *, ngrams: bool = True, stop_words: bool = True, min_df: int = 2,
-          max_df: float = 0.8, max_features: int | None = 5000) -> DataFrame:
+          max_df: float = 0.8, max_features: int | None = None) -> DataFrame:
     """(`doc`, `term`, `tf`, `df`, `weight`), unit length per document.
 
     weight = tf * (ln((1 + n) / (1 + df)) + 1), so a term of every document keeps some weight.

@@ -13,6 +13,7 @@ from opinara.plans.registry import query
 from opinara.plans.similarity import PATTERN_SQL, _category_vectors, _metadata
 from opinara.sources.tables import with_views
 
+MICRO = 200  # groups from which the merge tree starts
 USER_FEATURES = ["avg_rating", "rating_std", "review_count", "verified_ratio", "avg_text_length"]
 
 
@@ -33,18 +34,18 @@ def standardised_features(t):
 
 @query("kmeans_clusters")
 def kmeans_clusters(t):
-    return CL.kmeans(user_features(t), 3, starts=3)
+    return CL.kmeans(user_features(t), 3)
 
 
 @query("choose_k")
 def choose_k(t):
-    return CL.choose_k(CL.standardise(user_features(t)), 6, starts=2)
+    return CL.choose_k(CL.standardise(user_features(t)))
 
 
 @query("cluster_metrics")
 def cluster_metrics(t):
     users, vectors = user_features(t), FE.as_vector(_metadata(t), "item_id", list(FE.METADATA))
-    km, ward = CL.kmeans(users, 3, starts=3), CL.hierarchical(vectors, 5)
+    km, ward = CL.kmeans(users, 3), CL.hierarchical(vectors, 5, micro=MICRO)
     return CL.run_report("kmeans", CL.with_vectors(km, users)).unionByName(CL.run_report("ward", CL.with_vectors(ward, vectors)))
 
 
@@ -58,7 +59,7 @@ def cluster_metrics(t):
     s AS (SELECT label, avg(d) AS s FROM d GROUP BY label),
     g AS (SELECT a.label AS p, z.label AS q, sqrt(sum((a.c - z.c) * (a.c - z.c))) AS g FROM c a JOIN c z ON a.i = z.i AND a.label <> z.label GROUP BY ALL),
     r AS (SELECT g.p, max((x.s + y.s) / g.g) AS r FROM g JOIN s x ON x.label = g.p JOIN s y ON y.label = g.q GROUP BY g.p),
-    pd AS (SELECT a.id, a.label AS own, z.label, sum(sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.x[i] - z.x[i]) * (a.x[i] - z.x[i]))))) AS t,
+    pd AS (SELECT a.id, a.label AS own, z.label, sum(list_sum(list_transform(range(1, 65), lambda i: (a.x[i] - z.x[i]) * (a.x[i] - z.x[i])))) AS t,
       count(*) AS n FROM v a JOIN v z ON true GROUP BY ALL),
     ab AS (SELECT id, max(CASE WHEN own = label THEN t / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> label THEN t / n END) AS b,
       max(CASE WHEN own = label THEN n END) AS n FROM pd GROUP BY id)
@@ -90,7 +91,7 @@ def dbscan_noise_flags(t):
 
 @query("ward_clusters")
 def ward_clusters(t):
-    return CL.hierarchical(FE.as_vector(_metadata(t), "item_id", list(FE.METADATA)), 5)
+    return CL.hierarchical(FE.as_vector(_metadata(t), "item_id", list(FE.METADATA)), 5, micro=MICRO)
 
 
 @query("pca_2d")

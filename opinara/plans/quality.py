@@ -154,9 +154,21 @@ def json_field_profile(t):
     return P.json_field_profile(t.raw("events"), "props")
 
 
-@query("data_dictionary")
+DICTIONARY = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string", "c_acctbal": "double"}
+
+
+@query(
+    "data_dictionary",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS field_name, '{k}' AS data_type, count(*) FILTER ({c} IS NULL) > 0 AS nullable,
+            count(DISTINCT {c}) AS unique_values, {f'CAST(min({c}) AS DOUBLE)' if k != 'string' else 'CAST(NULL AS DOUBLE)'} AS min,
+            {f'CAST(max({c}) AS DOUBLE)' if k != 'string' else 'CAST(NULL AS DOUBLE)'} AS max,
+            (SELECT string_agg(v, '; ' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM customer
+               WHERE {c} IS NOT NULL ORDER BY v LIMIT 3)) AS sample_values FROM customer""" for c, k in DICTIONARY.items()
+    ),
+)
 def data_dictionary(t):
-    return P.data_dictionary(t.raw("customer"))
+    return P.data_dictionary(t.raw("customer").select(*[F.col(c).cast(k) for c, k in DICTIONARY.items()]))
 
 
 @query(
@@ -187,8 +199,24 @@ def missing_rates(t):
          count(*) FILTER (s = 'warning') AS n_warnings, count(*) FILTER (s = 'issue') = 0 AS is_valid FROM f""",
 )
 def quality_report(t):
-    li = t.raw("lineitem").select(
+    return P.quality_report(_lines_with_gaps(t), ["l_orderkey", "l_linenumber"]).drop("findings")
+
+
+@query(
+    "quality_findings",
+    """WITH x AS (SELECT CAST(count(*) AS DOUBLE) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS d,
+           count(*) FILTER (NOT (l_tax > 0)) AS zt, count(*) FILTER (l_returnflag <> 'R') AS nr FROM lineitem)
+       SELECT 'null_rate' AS check_name, 'tax' AS column_name, CASE WHEN zt / n > 0.5 THEN 'issue' ELSE 'warning' END AS severity,
+         round(zt / n, 6) AS amount FROM x WHERE zt / n > 0.1
+       UNION ALL SELECT 'null_rate', 'returned', CASE WHEN nr / n > 0.5 THEN 'issue' ELSE 'warning' END, round(nr / n, 6) FROM x WHERE nr / n > 0.1
+       UNION ALL SELECT 'duplicate_rate', 'l_orderkey,l_linenumber', 'warning', round((n - d) / n, 6) FROM x WHERE n > d""",
+)
+def quality_findings(t):
+    return P.quality_findings(_lines_with_gaps(t), ["l_orderkey", "l_linenumber"])
+
+
+def _lines_with_gaps(t):
+    return t.raw("lineitem").select(
         "l_orderkey", "l_linenumber", F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("tax"),
         F.when(F.col("l_returnflag") == "R", F.col("l_returnflag")).alias("returned"),
     )
-    return P.quality_report(li, ["l_orderkey", "l_linenumber"]).drop("findings")

@@ -36,18 +36,20 @@ def category_affinity_long(t):
     return FE.category_affinity(t.reviews, t.products).withColumn("share", r6("share"))
 
 
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]  # those of the catalogue
+
+
 def categories(t) -> list[str]:
     """Category names of the catalogue, a short list."""
     return [r[0] for r in t.products.select("main_category").distinct().orderBy("main_category").collect()]
 
 
 @query("category_affinity_wide", with_views(f"""WITH {AFFINITY_SQL}
-    SELECT user_id, round(coalesce(sum(share) FILTER (main_category = 'ECONOMY'), 0), 6) AS economy,
-      round(coalesce(sum(share) FILTER (main_category = 'PROMO'), 0), 6) AS promo,
-      round(coalesce(sum(share) FILTER (main_category = 'STANDARD'), 0), 6) AS standard FROM sh GROUP BY user_id"""))
+    SELECT user_id, {", ".join(f"round(coalesce(sum(share) FILTER (main_category = '{c}'), 0), 6) AS {c.lower()}" for c in CATEGORIES)}
+    FROM sh GROUP BY user_id"""))
 def category_affinity_wide(t):
-    wide = FE.category_affinity_wide(t.reviews, t.products, categories(t))
-    return wide.select("user_id", *[r6(c).alias(c.lower()) for c in ("ECONOMY", "PROMO", "STANDARD")])
+    wide = FE.category_affinity_wide(t.reviews, t.products, CATEGORIES)
+    return wide.select("user_id", *[r6(c).alias(c.lower()) for c in CATEGORIES])
 
 
 META_SQL = """st AS (SELECT item_id, avg(rating) AS a, count(rating) AS n FROM reviews GROUP BY item_id),
@@ -197,7 +199,7 @@ def text_embeddings_hashed(t):
 
 
 @query("user_texts", """WITH p AS (SELECT conv_id, turn, CASE WHEN role IS NULL THEN '' ELSE role END || '. ' || coalesce(text, '') AS piece FROM conversations)
-    SELECT conv_id AS user_id, substring(string_agg(piece, ' ' ORDER BY turn), 1, 1000) AS combined_text FROM p GROUP BY conv_id""")
+    SELECT conv_id AS user_id, string_agg(piece, ' ' ORDER BY turn, piece) AS combined_text FROM p GROUP BY conv_id""")
 def user_texts(t):
     rows = t.raw("conversations").select(F.col("conv_id").alias("user_id"), "turn", F.col("role").alias("title"), "text")
     return FE.user_texts(rows, ["turn"])

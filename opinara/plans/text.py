@@ -61,7 +61,7 @@ def tfidf_sql(table: str, id_col: str, text: str, limits: str, max_features: int
   f AS (SELECT doc, term, tf, df, w / sqrt(sum(w * w) OVER (PARTITION BY doc)) AS weight FROM wt)"""
 
 
-DOCS_TFIDF = tfidf_sql("documents", "doc_id", "text", "count(*) >= 2 AND count(*) <= CAST(0.8 AS DOUBLE) * (SELECT n FROM nn)", 5000)
+DOCS_TFIDF = tfidf_sql("documents", "doc_id", "text", "count(*) >= 2 AND count(*) <= CAST(0.8 AS DOUBLE) * (SELECT n FROM nn)", None)
 
 
 @query("tfidf_terms", f"WITH {DOCS_TFIDF} SELECT doc, term, tf, df, round(weight, 9) AS weight FROM f")
@@ -78,7 +78,7 @@ def tfidf_cosine_topk(t):
     return SIM.similar_by_terms(tfidf(t.documents, "doc_id", "text"), 10)
 
 
-TITLES_TFIDF = tfidf_sql("part", "p_partkey", "p_name || ' ' || p_type", "count(*) >= 2 AND count(*) <= CAST(0.8 AS DOUBLE) * (SELECT n FROM nn)", 5000)
+TITLES_TFIDF = tfidf_sql("part", "p_partkey", "p_name || ' ' || p_type", "count(*) >= 2 AND count(*) <= CAST(0.8 AS DOUBLE) * (SELECT n FROM nn)", None)
 CONTENT_SQL = f"""{TITLES_TFIDF},
   g AS (SELECT user_id, item_id FROM reviews WHERE rating >= 4),
   b AS (SELECT user_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS r

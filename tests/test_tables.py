@@ -85,7 +85,7 @@ def test_profile_and_quality(spark):
     assert {f["check_name"] for f in q["findings"]} == {"null_rate", "empty_text", "duplicate_rate"}
     assert profile.quality_report(df.select("k").distinct(), ["k"]).first()["is_valid"]
     d = {r["field_name"]: r for r in profile.data_dictionary(df).collect()}
-    assert d["k"]["sample_values"] == "1; 1; 2"
+    assert d["k"]["sample_values"].split("; ")[:2] == ["1", "2"]
 
 
 def test_json_fields(spark):
