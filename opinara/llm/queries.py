@@ -116,6 +116,29 @@ def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+SQL["op6_histogram_shards"] = """
+WITH t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc
+), b AS (
+  SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents
+), c AS (
+  SELECT doc_id, len(h) // 2 + 16 AS size, substr(md5(text), 1, 16) AS key,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)),
+                         lambda c, v: xor(c // 256, t.crc[xor(c % 256, v) + 1])), 4294967295::BIGINT) AS text_crc32
+  FROM b, t
+), s AS (
+  SELECT doc_id, size, text_crc32, key,
+         (coalesce(sum(size) OVER (ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 40
+           // (SELECT sum(size) FROM c))::INTEGER AS shard
+  FROM c
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY key, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM s
+"""
+
+
 def op7_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), max_edit=0.2)
     return found.select("doc_id", "item_id", "item_words", "edits", "start", "words")
