@@ -36,8 +36,12 @@ def with_norm(ratings: DataFrame, entity: str) -> DataFrame:
 
 
 def _cosine(a: str | None) -> list[Column]:
-    scale = F.col("b_norm") * (F.col("a_norm") if a else F.lit(1.0))
-    return [F.desc(fixed(F.col("dot") / scale))]
+    """The query's own norm scales all of its scores alike, so it takes no part in the order.
+
+    Sums and norms are rounded, their quotient is not: partners with equal sums tie exactly if their rounded
+    norms are equal, with or without hot keys.
+    """
+    return [F.desc(F.round("dot", 9) / F.round("b_norm", 9))]
 
 
 def cosine_neighbours(ratings: DataFrame, k: int, entity: str = "user_id", key: str = "item_id", hot_limit: int = HOT_LIMIT) -> DataFrame:

@@ -74,6 +74,14 @@ def test_cosine_neighbours(spark, hot_limit):
     close(got, cosine_lists(by(rows, 0, 1), 5))
 
 
+@pytest.mark.parametrize("hot_limit", [1000, 2])
+def test_cosine_ties_do_not_depend_on_the_hot_limit(spark, hot_limit):
+    rows = [(100, 0, 1.0), (100, 9, 100.0), (1, 0, 1.0), (1, 11, 1.00000005), (2, 0, 1.0), (2, 12, 1.0), (3, 0, 1.0), (3, 13, 1.0)]
+    ratings = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    got = {r["user_id"]: r["neighbour"] for r in R.cosine_neighbours(ratings, 1, hot_limit=hot_limit).collect()}
+    assert got == {100: 2, 1: 2, 2: 3, 3: 2}
+
+
 def test_item_neighbours_with_hot_user(spark):
     rows = skewed(2)
     ratings = R.rating_matrix(frame(spark, rows))
