@@ -192,8 +192,8 @@ def ivf_search(queries: DataFrame, items: DataFrame, k: int, metric: str, n_cell
     return _best(search_cells(materialise(qs.drop("to_pivot")), xs.drop("to_pivot"), k, metric), k)
 
 
-def lsh_search(queries: DataFrame, items: DataFrame, k: int, metric: str, tables: int = 16, bits: int = 4, seed: int = 42) -> DataFrame:
-    """Approximate top `k` from random-hyperplane buckets; more bits mean smaller buckets."""
+def lsh_search(queries: DataFrame, items: DataFrame, k: int, metric: str, tables: int = 16, seed: int = 42, *, bits: int) -> DataFrame:
+    """Approximate top `k` from random-hyperplane buckets; `bits` is to be chosen for the bucket size wanted, rows / 2^bits."""
     one = items.select(F.size("vec").alias("d")).first()
     planes = np.random.default_rng(seed).standard_normal((tables * bits, one["d"] if one else 1))
 

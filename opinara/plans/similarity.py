@@ -103,7 +103,7 @@ def knn_ivf(t):
 
 @query("knn_lsh")
 def knn_lsh(t):
-    return nearest_neighbours(t.raw("embeddings"), 10, id_col="vec_id", vec_col="embedding", method="lsh")
+    return nearest_neighbours(t.raw("embeddings"), 10, id_col="vec_id", vec_col="embedding", method="lsh", bits=4)
 
 
 @query("similar_products_metadata", with_views(_knn_sql(

@@ -45,13 +45,36 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_WRITTEN: list[str] = []  # intermediate tables of this process that are not deleted yet
+
+
+def intermediate_path(spark: SparkSession, kind: str = "opinara") -> str:
+    """A new path in the shared folder; `clear_intermediates` deletes what is written there."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_intermediates(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far, through the file system that holds them.
+
+    For the owner of the results: call it once they have been consumed, as results that were
+    not yet read or written depend on these tables. Returns the number of paths.
+    """
+    paths, _WRITTEN[:] = list(_WRITTEN), []
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and gives later joins real sizes to plan with.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/opinara-{uuid.uuid4().hex}"
+    path = intermediate_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -133,3 +133,17 @@ def test_audits(spark):
     parent = spark.createDataFrame([(1,)], "k int")
     assert tuple(lookups.foreign_key_audit(child, parent, "k").first()) == (2, 1)
     assert tuple(lookups.key_violations(child, ["k"]).first()) == (2, 2)
+
+
+def test_intermediate_tables_can_be_deleted(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from opinara import session
+
+    session.clear_intermediates(spark)
+    df = session.materialise(spark.range(10))
+    folder = os.path.dirname(urlparse(df.inputFiles()[0]).path)
+    assert df.count() == 10 and os.path.isdir(folder)
+    assert session.clear_intermediates(spark) == 1 and not os.path.exists(folder)
+    assert session.clear_intermediates(spark) == 0
