@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from opinara.llm import ann, decontaminate, langid, lm, mixing, ngram_join, quality, sharding, substrings, warc
 from opinara.llm.common import learned
-from opinara.session import shared_folder
+from opinara.session import intermediate_path
 
 SQL: dict[str, str] = {}
 
@@ -110,10 +109,11 @@ FROM p
 
 
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    # the digest is taken before the exchange, which then carries no text
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", crc.alias("text_crc32"))
     return sharding.shard_by_bytes(docs, 40).select(
-        "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 SQL["op6_histogram_shards"] = """
@@ -149,7 +149,7 @@ def op8_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    path = intermediate_path(spark, "warc")
     warc.write_archives(_table(spark, sf_dir, "pages"), path, min_revisit=1000)
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

@@ -25,7 +25,7 @@ from opinara.session import materialise
 
 KEY_BYTES = 24
 KEYS = 1 << (8 * KEY_BYTES)
-PART_ROWS = 1_000_000  # rows sorted by one task while slots are numbered
+PART_ROWS, PART_BYTES = 1_000_000, 256 << 20  # what one task sorts while slots are numbered
 
 
 class Boundary(NamedTuple):
@@ -118,7 +118,7 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0, probes: int =
     return [Boundary(_key(b), s, m) for _, _, _, b, s, m in state]
 
 
-def shard_by_bytes(docs: DataFrame, shards: int, tolerance: float = 0.0, text: str = "text", doc_id: str = "doc_id", probes: int = 16, part_rows: int = PART_ROWS) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int, tolerance: float = 0.0, text: str = "text", doc_id: str = "doc_id", probes: int = 16, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES) -> DataFrame:
     """All rows and columns of `docs` plus size, shard (0 to `shards` - 1) and slot (its place in the shard, from 0).
 
     `size` is the UTF-8 bytes of the text plus 16. With `tolerance` 0 a shard's bytes are
@@ -129,8 +129,8 @@ def shard_by_bytes(docs: DataFrame, shards: int, tolerance: float = 0.0, text: s
     key, part = fresh(docs, "sort_key"), fresh(docs, "part")
     docs = with_columns(docs, **{"size": size_column(text), key: key_column(text, doc_id)})
     slim = materialise(docs.select(F.col(key).alias("key"), "size"))
-    rows = slim.count()
-    parts = shards * max(1, -(-rows // (shards * part_rows)))
+    rows, total = slim.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    parts = shards * max(1, -(-rows // (shards * part_rows)), -(-total // (shards * part_bytes)))
     cuts = splitters(slim, parts, tolerance, probes)
     keys = [c.key for c in cuts]
 
