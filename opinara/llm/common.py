@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +22,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast `value` with the classes it uses, so that executors need no copy of this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(shared: Broadcast):
+    return cloudpickle.loads(shared.value)
+
+
 def learned(key: str, modulus: int, remainder: int) -> Column:
     """crc32 of the id's decimal text, modulo `modulus`, equals `remainder`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus == remainder

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import fresh
+from opinara.llm.common import fresh, share, shared_value
 from opinara.llm.tokens import Tokenizer, mix, non_word_table
 
 TABLES, SAMPLES, MAX_EDIT = 32, 3, 0.2
@@ -179,7 +179,7 @@ def matches(words: np.ndarray, offsets: np.ndarray, items: Items) -> list[tuple[
 
 def _search(shared):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, tokens = shared.value, Tokenizer(non_word_table())
+        items, tokens = shared_value(shared), Tokenizer(non_word_table())
         for batch in batches:
             rows = []
             for w in tokens.slices(pc.utf8_lower(batch.column(2).cast(pa.large_string()))):
@@ -207,7 +207,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
     out = None
     for i in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(index_items([r["item_id"] for r in part], [r["text"] for r in part], max_edit, tables, samples))
+        shared = share(spark, index_items([r["item_id"] for r in part], [r["text"] for r in part], max_edit, tables, samples))
         found = texts.mapInArrow(_search(shared), "doc_id bigint, text_key bigint, item_id bigint, item_words int, edits int, start int, words int")
         out = found if out is None else out.union(found)
     return out

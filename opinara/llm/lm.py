@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.common import share, shared_value
 from opinara.llm.tokens import Tokenizer, space_table
 
 BUCKET_BITS = 16
@@ -132,7 +133,7 @@ def train(net: Network, context: np.ndarray, target: np.ndarray, memory: list[np
 
 def _train_task(shared, round_: int, every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, start = shared.value
+        vocabulary, start = shared_value(shared)
         net, tokens = Network(*(p.copy() for p in start)), Tokenizer(space_table())
         memory, seen, held = [np.full_like(p, 1e-4) for p in net], 0, []
 
@@ -173,9 +174,9 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, mask_every: int = MASK_EVERY) ->
     """Count and train over all of `docs` (text); the driver holds one set of parameters (0.3 MB) and the bucket counts."""
     docs = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     vocabulary = build_vocabulary(count_words(docs))
-    net, sc = new_network(vocabulary.prior), docs.sparkSession.sparkContext
+    net = new_network(vocabulary.prior)
     for r in range(rounds):
-        sums = docs.mapInArrow(_train_task(sc.broadcast((vocabulary, net)), r, mask_every), "piece int, task bigint, seen bigint, sum binary")
+        sums = docs.mapInArrow(_train_task(share(docs.sparkSession, (vocabulary, net)), r, mask_every), "piece int, task bigint, seen bigint, sum binary")
         for _ in range(LEVELS):  # tasks 0 to FAN_IN - 1 meet first, then the sums of as many
             sums = sums.groupBy("piece", F.floor(F.col("task") / FAN_IN).alias("over")).applyInArrow(_sum_pieces, "piece int, task bigint, seen bigint, sum binary")
         rows = sorted(sums.collect(), key=lambda x: x["piece"])
@@ -213,10 +214,10 @@ def score(docs: DataFrame, model: tuple[Vocabulary, Network]) -> DataFrame:
     `log_prob` sums over all words `[^\\x20\\x09-\\x0D]+` of the whole text. Null, empty and blank texts have no
     words, log_prob 0 and a null mean. Repeated rows score alike; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (vocabulary, net), tokens = shared.value, Tokenizer(space_table())
+        (vocabulary, net), tokens = shared_value(shared), Tokenizer(space_table())
         for batch in batches:
             n, total = [np.empty(0, np.int64)], [np.empty(0)]
             for w in tokens.slices(batch.column(1)):

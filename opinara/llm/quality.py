@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.common import share, shared_value
 from opinara.llm.tokens import Tokenizer, space_table
 
 BUCKETS, MAX_LABELLED, RANK, NEIGHBOURS = 2048, 4096, 64, 25
@@ -117,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
 
 def _scores(model: Model, k: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = shared_value(model)
         for batch in batches:
             keys, out = np.asarray(batch.column(1)), []
             start = 0
@@ -150,7 +151,7 @@ def score_quality(docs: DataFrame, model: Model, k: int = NEIGHBOURS) -> DataFra
     `score` is between 0 and 1, higher for label 1; null, empty and blank texts get the share of label 1 among
     all learned labels, as does a text near no labelled one. Repeated rows score alike; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     docs = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64(F.col("text").cast("string")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"))
     scored = docs.mapInArrow(_scores(shared, k), "doc_id bigint, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
