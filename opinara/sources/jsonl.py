@@ -39,6 +39,22 @@ PRODUCT_SCHEMA = T.StructType([
 BAD = "_bad"
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType, on_bad_line: str = "skip") -> DataFrame:
+    """Records of a one-column (`value`) table of JSON lines; blank lines are left out.
+
+    `on_bad_line`: "skip" drops unreadable lines, "keep" leaves their text in `_bad`.
+    Lines are parsed by expression: the JSON reader refuses plans that only look at `_bad`.
+    """
+    with_bad = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    out = lines.filter(F.trim("value") != "").select(F.from_json("value", with_bad, options).alias("r")).select("r.*")
+    if on_bad_line == "skip":
+        return out.filter(F.col(BAD).isNull()).drop(BAD)
+    if on_bad_line != "keep":
+        raise ValueError(f"unknown on_bad_line {on_bad_line!r}")
+    return out
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, on_bad_line: str = "skip", limit: int | None = None,
                partitions: int | None = None) -> DataFrame:
     """Records of JSON lines; one file or a folder of files.
@@ -51,16 +67,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, on_bad_line
         out = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
         out = out.limit(limit) if limit is not None else out
     else:
-        # Lines are parsed by expression: the JSON reader refuses plans that only look at `_bad`.
-        with_bad = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
         lines = spark.read.text(path).filter(F.trim("value") != "")
-        lines = lines.limit(limit) if limit is not None else lines
-        out = lines.select(F.from_json("value", with_bad, options).alias("r")).select("r.*")
-        if on_bad_line == "skip":
-            out = out.filter(F.col(BAD).isNull()).drop(BAD)
-        elif on_bad_line != "keep":
-            raise ValueError(f"unknown on_bad_line {on_bad_line!r}")
+        out = parse_lines(lines.limit(limit) if limit is not None else lines, schema, on_bad_line)
     return out.repartition(partitions) if partitions else out
 
 
