@@ -110,6 +110,27 @@ def user_texts(reviews: DataFrame, order: list[str], user: str = "user_id", max_
     return joined.select(user, (text if max_chars is None else F.substring(text, 1, max_chars)).alias("combined_text"))
 
 
+def hashed_vectors(weights: DataFrame, id_col: str, term_col: str, weight: Column | None = None, dim: int = 256) -> DataFrame:
+    """(`id`, `vector`): the weights of each id's terms (default: 1 a row) summed into `dim` md5 buckets, unit length.
+
+    Sums combine in the map tasks and at most `dim` numbers of an id meet, so a user with a third of
+    all rows costs no more than others. Ids without terms are left out.
+    """
+    bucket = F.pmod(F.conv(F.substring(F.md5(term_col), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")
+    sums = weights.groupBy(F.col(id_col).alias("id"), bucket.alias("b")).agg(F.sum(F.lit(1.0) if weight is None else weight).alias("s"))
+    cells = sums.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("b", "s"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
+    return cells.select("id", l2_normalise(dense).alias("vector"))
+
+
+def user_text_vectors(reviews: DataFrame, user: str = "user_id", columns: tuple[str, ...] = ("title", "text"), dim: int = 256) -> DataFrame:
+    """(`id`, `vector`) of all words that a user wrote, however long the history; no text is joined up."""
+    from opinara.functions.text import tokens
+
+    words = reviews.select(user, F.explode(tokens(F.concat_ws(" ", *columns))).alias("_w"))
+    return hashed_vectors(words, user, "_w", dim=dim)
+
+
 def text_embeddings(df: DataFrame, id_col: str, text_col: str, encoder: Callable[[list[str]], list[list[float]]] | None = None,
                     batch: int = 64, dim: int = 256) -> DataFrame:
     """(`id`, `vector`) unit-length text vectors.

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from opinara.functions import scalars as S
 from opinara.functions.scalars import r6
+from opinara.functions.text import title_and_description, tokens
 from opinara.operators import features as FE
 from opinara.operators import similarity as SIM
 from opinara.operators.knn import nearest_neighbours
 from opinara.operators.lookups import with_review_stats
 from opinara.operators.tfidf import latent_reduction, tfidf
 from opinara.plans.registry import query
-from opinara.plans.text import DOCS_TFIDF
+from opinara.plans.text import DOCS_TFIDF, TITLES_TFIDF, TOKENS_SQL, title_features
 from opinara.sources.tables import with_views
 
 PATTERN_SQL = """SELECT user_id, avg(rating) AS avg_rating, coalesce(stddev_samp(rating), 0) AS rating_std, count(rating) AS review_count,
@@ -188,6 +189,48 @@ def hybrid_vector_truncated(t):
     return _blocks(t).select("item_id", F.posexplode(FE.hybrid_truncated("a", "b", "vector", 16)).alias("pos", "x")).withColumn("x", r6("x"))
 
 
+def hashed_sql(name: str, rows: str, dim: int) -> str:
+    """A CTE `name`(id, x) of unit vectors from `rows` with id, term and w."""
+    return f"""{name}_b AS (SELECT id, ('0x' || substr(md5(term), 1, 8))::BIGINT % {dim} AS b, CAST(sum(w) AS DOUBLE) AS c FROM ({rows}) GROUP BY ALL),
+  {name}_n AS (SELECT id, sqrt(sum(c * c)) AS n FROM {name}_b GROUP BY id),
+  {name} AS (SELECT n.id, list(coalesce(b.c, 0) / n.n ORDER BY g.b) AS x FROM {name}_n n CROSS JOIN (SELECT unnest(range({dim})) AS b) g
+    LEFT JOIN {name}_b b ON b.id = n.id AND b.b = g.b GROUP BY n.id)"""
+
+
+# A conversation stands for a user, its turns for the user's reviews.
+@query("similar_users_text", _knn_sql(hashed_sql("v", "SELECT conv_id AS id, unnest(" + TOKENS_SQL.format(
+    c="concat_ws(' ', role, text)") + ") AS term, 1 AS w FROM conversations", 64), "DESC", COSINE, 10, "score AS similarity"))
+def similar_users_text(t):
+    return nearest_neighbours(FE.user_text_vectors(t.raw("conversations"), "conv_id", ("role", "text"), 64), 10).drop("distance")
+
+
+def _product_blocks(t, dim: int = 32):
+    """Term weights, words and metadata of every product."""
+    docs = t.products.select("item_id", title_and_description("title", "main_category").alias("text"))
+    words = docs.select("item_id", F.explode(tokens("text")).alias("w"))
+    block = lambda df, name: df.withColumnsRenamed({"id": "item_id", "vector": name})
+    zero = F.array_repeat(F.lit(0.0), dim)
+    out = block(FE.as_vector(_metadata(t), "item_id", list(FE.METADATA)), "metadata")
+    out = out.join(block(FE.hashed_vectors(title_features(t), "item_id", "term", F.col("weight"), dim), "terms"), "item_id", "left")
+    out = out.join(block(FE.hashed_vectors(words, "item_id", "w", dim=dim), "words"), "item_id", "left")
+    return out.withColumns({c: F.coalesce(c, zero) for c in ("terms", "words")})
+
+
+ZEROS = "list_transform(range(32), lambda i: CAST(0 AS DOUBLE))"
+PRODUCT_BLOCKS_SQL = META_SQL + ", " + TITLES_TFIDF + ", " + hashed_sql("pt", "SELECT doc AS id, term, weight AS w FROM f", 32) + ", " + hashed_sql(
+    "pw", "SELECT p_partkey AS id, unnest(" + TOKENS_SQL.format(c="p_name || ' ' || p_type") + ") AS term, 1 AS w FROM part", 32) + f""",
+  v AS (SELECT m.item_id AS id, list_transform(coalesce(pt.x, {ZEROS}), lambda x: x * CAST(0.5 AS DOUBLE))
+      || list_transform(coalesce(pw.x, {ZEROS}), lambda x: x * CAST(0.4 AS DOUBLE))
+      || list_transform([m.price, m.category, m.avg_rating, m.rating_count], lambda x: x * CAST(0.1 AS DOUBLE)) AS x
+    FROM mf m LEFT JOIN pt ON pt.id = m.item_id LEFT JOIN pw ON pw.id = m.item_id)"""
+
+
+@query("similar_products_hybrid", with_views(_knn_sql(PRODUCT_BLOCKS_SQL, "DESC", COSINE, 10, "score AS similarity")))
+def similar_products_hybrid(t):
+    vectors = _product_blocks(t).select(F.col("item_id").alias("id"), FE.hybrid_weighted("terms", "words", "metadata", 32).alias("vector"))
+    return nearest_neighbours(vectors, 10).drop("distance")
+
+
 @query("latent_vectors")
 def latent_vectors(t):
     return latent_reduction(tfidf(t.documents, "doc_id", "text", max_features=500), 32)
