@@ -82,17 +82,21 @@ def before_row(row, order: list[str]) -> Column:
     return cond
 
 
-def temporal_split(reviews: DataFrame, order: list[str], test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
-    """Oldest `int(n * (1 - test_size))` rows and the rest.
+def temporal_part(reviews: DataFrame, order: list[str], test_size: float = 0.2, name: str = "part") -> DataFrame:
+    """`reviews` with `name`: "train" for the oldest `int(n * (1 - test_size))` rows, "test" for the rest.
 
     Only the key columns are sorted to find the first test row; the wide rows are
-    then filtered in place.
+    then labelled in place, in one pass.
     """
     cut = row_at_position(reviews, order, lambda n: int(n * (1 - test_size)))
-    if cut is None:
-        return reviews, reviews.limit(0)
-    first = before_row(cut, order)
-    return reviews.filter(first), reviews.filter(~first)
+    label = F.lit("train") if cut is None else F.when(before_row(cut, order), "train").otherwise("test")
+    return reviews.withColumn(name, label)
+
+
+def temporal_split(reviews: DataFrame, order: list[str], test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
+    """The two parts of `temporal_part` as tables of their own."""
+    parts = temporal_part(reviews, order, test_size, "_part")
+    return tuple(parts.filter(F.col("_part") == p).drop("_part") for p in ("train", "test"))
 
 
 def hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:

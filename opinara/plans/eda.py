@@ -196,9 +196,7 @@ def latest_reviews(t):
     SELECT CASE WHEN pos < CAST(floor(n * 0.8) AS BIGINT) THEN 'train' ELSE 'test' END AS part, count(*) AS n_reviews,
       min(ts) AS first_review, max(ts) AS last_review, CAST(sum(rating) AS BIGINT) AS rating_sum FROM o GROUP BY 1"""))
 def temporal_split_counts(t):
-    train, test = TR.temporal_split(t.reviews, ORDER, 0.2)
-    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return both.groupBy("part").agg(
+    return TR.temporal_part(t.reviews, ORDER, 0.2).groupBy("part").agg(
         F.count(F.lit(1)).alias("n_reviews"), F.min("ts").alias("first_review"), F.max("ts").alias("last_review"),
         F.sum("rating").alias("rating_sum"),
     )

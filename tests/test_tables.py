@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from opinara.operators import eda, lookups, profile
 from opinara.operators import toprows as TR
 from opinara.operators.quantiles import below_quantile, exact_quantiles, histogram
-from opinara.sources import sinks
+from opinara.sources import jsonl, sinks
 
 
 def ratings(spark, rows):
@@ -147,3 +147,34 @@ def test_intermediate_tables_can_be_deleted(spark):
     assert df.count() == 10 and os.path.isdir(folder)
     assert session.clear_intermediates(spark) == 1 and not os.path.exists(folder)
     assert session.clear_intermediates(spark) == 0
+
+
+def test_lines_of_any_table_are_parsed(spark):
+    from opinara.sources.jsonl import parse_lines
+
+    lines = spark.createDataFrame([('{"asin": "a", "rating": 4.0}',), ('{"asin": "b"',), ("  ",)], "value string")
+    kept = parse_lines(lines, jsonl.REVIEW_SCHEMA, "keep").collect()
+    assert sorted((r["asin"] or "", r["_bad"] or "") for r in kept if r["_bad"] is None) == [("a", "")]
+    assert [r["_bad"] for r in kept if r["_bad"]] == ['{"asin": "b"']
+    assert [r["asin"] for r in parse_lines(lines, jsonl.REVIEW_SCHEMA).collect()] == ["a"]
+
+
+def test_graph_load_round_trip(spark, tmp_path):
+    edges = spark.createDataFrame([(1, 2, 3)], "src long, dst long, frequency long")
+    sinks.load_graph({"users": spark.range(2)}, {"bought_together": edges}, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "users")).count() == 2
+    assert tuple(spark.read.parquet(str(tmp_path / "bought_together")).select("src", "dst", "frequency").first()) == (1, 2, 3)
+
+
+def test_user_text_vectors_sum_words(spark):
+    import hashlib
+
+    from opinara.operators import features
+
+    rows = spark.createDataFrame([(1, "red", "red bolt"), (1, None, "Bolt"), (2, None, None)], "user_id long, title string, text string")
+    got = {r["id"]: r["vector"] for r in features.user_text_vectors(rows, dim=16).collect()}
+    want = [0.0] * 16
+    for w in ("red", "red", "bolt", "bolt"):
+        want[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 16] += 1
+    length = sum(x * x for x in want) ** 0.5
+    assert set(got) == {1} and all(abs(a - b / length) < 1e-12 for a, b in zip(got[1], want, strict=True))
