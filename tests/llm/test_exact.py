@@ -369,3 +369,24 @@ def test_warc_notices_damage(spark):
     assert warc.decode_record(record)["payload"] == b"payload"
     with pytest.raises(ValueError, match="damaged"):
         warc.decode_record(record.replace(b"payload\r\n", b"pAyload\r\n"))
+
+
+@pytest.mark.parametrize("words", [1, 7, 40, 100, 200])
+@pytest.mark.parametrize("where", ["first half", "second half", "anywhere", "both ends"])
+def test_leaks_of_any_length_wherever_the_edits_lie(words, where):
+    rng = np.random.default_rng(words)
+    text = lambda n: [f"v{i}" for i in rng.integers(0, 5000, n)]
+    items, docs, limit = [text(words) for _ in range(30)], [], int(words * 0.2 + 1e-9)
+    for item in items:
+        half, end = max(words // 2, limit), limit // 2
+        places = {"first half": range(half), "second half": range(words - half, words), "anywhere": range(words), "both ends": [*range(end), *range(words - limit + end, words)]}[where]
+        w = list(item)
+        for p in sorted(rng.choice(places, limit, replace=False), reverse=True):
+            w[p:p + 1] = [[], [f"new{p}"], [f"new{p}", w[p]]][rng.integers(3)]
+        docs.append(text(rng.integers(0, 50)) + w + text(rng.integers(0, 50)))
+    index = decontaminate.index_items(list(range(30)), [" ".join(i) for i in items])
+    hashes = decontaminate.word_hashes([" ".join(d) for d in docs])
+    found = decontaminate.matches(np.concatenate(hashes), np.cumsum([0, *map(len, hashes)]), index)
+    assert {i for i in range(30)} <= {row for row, item, *_ in found if index.ids[item] == row}
+    for row, item, edits, start, length in found[:10]:
+        assert edits == edit_least(items[item], docs[row]) == edit_least(items[item], docs[row][start:start + length]) <= limit
