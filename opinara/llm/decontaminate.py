@@ -210,12 +210,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
     """One row per row of `docs` (doc_id, text) and item of `benchmark` (item_id, text) it holds:
     doc_id, text_key (xxhash64 of the text), item_id, item_words, edits, start (first word, from 0) and words of the best match.
 
-    Null, empty and wordless texts and items match nothing; items with a null item_id are left out. Items
-    that share an item_id are searched as separate rows; repeated documents are found alike. Empty tables give an empty result; other
+    Null, empty and wordless texts and items match nothing; items with a null item_id are searched like others. Items
+    that share an item_id, also the null one, are searched as separate rows; repeated documents are found alike. Empty tables give an empty result; other
     columns are ignored. Items are broadcast, 16 MB of text at a time; a larger benchmark is searched in several passes.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     passes = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // ITEM_BYTES))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     out = None

@@ -390,3 +390,10 @@ def test_leaks_of_any_length_wherever_the_edits_lie(words, where):
     assert {i for i in range(30)} <= {row for row, item, *_ in found if index.ids[item] == row}
     for row, item, edits, start, length in found[:10]:
         assert edits == edit_least(items[item], docs[row]) == edit_least(items[item], docs[row][start:start + length]) <= limit
+
+
+def test_items_without_id_are_searched(spark):
+    docs = spark.createDataFrame([(1, "a b one two three four c"), (2, "nothing of it"), (3, "five six seven eight")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "one two three four"), (None, None), (7, "five six seven eight")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, items).collect()) == [(1, None), (3, 7)]
+    assert [r["doc_id"] for r in decontaminate.drop_leaking(docs, items).collect()] == [2]
