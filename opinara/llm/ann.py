@@ -4,16 +4,18 @@ Each of `trees` trees gives a vector a long string of bits: sides of random hype
 the medians of a sample. A tree is a sorted array of these strings. A query descends in each
 tree to its longest common prefix by binary search, then all trees ascend together, one bit
 at a time, until the rows under the prefixes number `candidates`. The trees' arrays are
-dealt by (tree, first bits), which is also how far queries may ascend; large parts are cut
-into chunks of bounded size, as are the queries that visit them.
+dealt by (tree, first bits). Queries that find fewer than `candidates` rows under these bits, in
+thin regions, go through further rounds with half as many bits, at the end with none, where one tree holds
+every row. Large parts are cut into chunks of bounded size, as are the queries that visit them.
 
 `candidates` and the depth of the deal are fitted: for a bounded sample of rows the exact
 neighbours are found by one pass over all rows, and the smallest number of candidates that
 finds `recall` of them is taken. Data without any structure, such as random directions in many
 dimensions, need a large share of all rows for that.
 
-Inside a part vectors are compared as 8-bit codes; the best `4 * k` of each part are
-compared again by the exact distance of the original vectors, in double precision.
+Inside a part vectors are compared as 8-bit codes, stored with their distance from the vector. By the
+triangle inequality that bounds the true distance from both sides: every row that can be among the k nearest of
+its part is compared again by the exact distance of the original vectors, in double precision.
 Equal vectors are searched once and opened up at the end.
 """
 
@@ -33,8 +35,9 @@ TREES, BITS = 24, 32
 SAMPLE, PROBES = 4096, 64  # rows that set the medians; rows whose exact neighbours fit the forest
 TASK_ROWS, CHUNK_ROWS, CHUNK_QUERIES = 32_768, 250_000, 4096
 MAX_DEAL = 16
+SLICE = 16_384  # rows that are decoded at once
 
-PART = "tree int, block int, labels binary, ids binary, scales binary, codes binary"
+PART = "tree int, block int, labels binary, ids binary, scales binary, errors binary, codes binary"
 
 
 class Forest(NamedTuple):
@@ -135,7 +138,8 @@ def fit_forest(sets: DataFrame, k: int, recall: float, trees: int = TREES, seed:
     for p, d, n in rows:
         under[p, d] = n
     under = under[:, ::-1].cumsum(axis=1)[:, ::-1]  # rows with at least this much in common
-    for candidates in np.unique(under):
+    some = np.unique(under)
+    for candidates in some:
         depth = BITS - np.argmax(under[:, ::-1] >= candidates, axis=1)
         hit = (reach >= depth[at]).mean()
         if hit >= recall:
@@ -147,8 +151,9 @@ def _parts(f: Forest):
     """Rows of a task, dealt by tree and first bits, with 8-bit codes of their vectors."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-            scales = (np.abs(x).max(axis=1) / 127).astype(np.float32)
-            codes = np.rint(x / np.maximum(scales, np.float32(1e-38))[:, None]).clip(-127, 127).astype(np.int8)
+            scales = np.abs(x).max(axis=1) / 127
+            codes = np.rint(x / np.maximum(scales, np.finfo(np.float64).tiny)[:, None]).clip(-127, 127).astype(np.int8)
+            errors = np.nextafter(distances(x, scales[:, None] * codes).astype(np.float32), np.float32(np.inf))
             mine, rows = labels_of(x, f.planes, f.medians), []
             for t in range(mine.shape[1]):
                 order = np.argsort(mine[:, t], kind="stable")
@@ -157,9 +162,9 @@ def _parts(f: Forest):
                 cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
                 for i, j in zip(cut[:-1], cut[1:], strict=True):
                     o = order[i:j]
-                    rows.append((t, int(block[i]), label[i:j].tobytes(), ids[o].tobytes(), scales[o].tobytes(), codes[o].tobytes()))
-            kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=["tree", "block", "labels", "ids", "scales", "codes"])
+                    rows.append((t, int(block[i]), label[i:j].tobytes(), ids[o].tobytes(), scales[o].tobytes(), errors[o].tobytes(), codes[o].tobytes()))
+            kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=["tree", "block", "labels", "ids", "scales", "errors", "codes"])
 
         held, n = [], 0
         for batch in batches:
@@ -195,7 +200,7 @@ def _arrays(table: pa.Table, dims: int | None = None):
     if dims is None:
         return labels[order]
     codes = join("codes", np.int8).reshape(-1, dims)
-    return labels[order], join("ids", np.int64)[order], join("scales", np.float32)[order], codes[order]
+    return labels[order], join("ids", np.int64)[order], join("scales", np.float64)[order], join("errors", np.float32)[order], codes[order]
 
 
 def _range(labels: np.ndarray, label: int, depth: int) -> tuple[int, int]:
@@ -204,12 +209,12 @@ def _range(labels: np.ndarray, label: int, depth: int) -> tuple[int, int]:
     return int(np.searchsorted(labels, np.uint32(low))), int(np.searchsorted(labels, np.uint32(low + (1 << (BITS - depth)) - 1), "right"))
 
 
-def _descend(f: Forest):
+def _descend(dealt: int):
     """For each query how many rows of a part share 0, 1, ... bits with it."""
     def count(part: pa.Table, queries: pa.Table) -> pa.Table:
         labels, wanted = _arrays(part), queries["label"].to_numpy()
         out = np.zeros((len(wanted), BITS + 1), np.int64)
-        for d in range(f.depth, BITS + 1) if len(labels) else ():
+        for d in range(dealt, BITS + 1) if len(labels) else ():
             low = wanted >> (BITS - d) << (BITS - d)
             high = low + (1 << (BITS - d)) - 1
             out[:, d] = np.searchsorted(labels, high.astype(np.uint32), "right") - np.searchsorted(labels, low.astype(np.uint32))
@@ -218,35 +223,78 @@ def _descend(f: Forest):
     return count
 
 
-def _search(f: Forest, dims: int, keep: int):
+def _search(dims: int, k: int):
+    """For each query the rows under its prefix that can be among its k nearest of the part."""
+    def bounds(q: np.ndarray, scales: np.ndarray, errors: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = codes * scales[:, None]
+        d = distances(q, x)
+        # the last terms cover the rounding of the sums themselves
+        slack = errors + 1e-9 * (d + np.abs(q).max() + scales * 127)
+        return d - slack, d + slack
+
     def search(part: pa.Table, queries: pa.Table) -> pa.Table:
         out_q, out_r = [], []
         if part.num_rows and queries.num_rows:
-            labels, ids, scales, codes = _arrays(part, dims)
+            labels, ids, scales, errors, codes = _arrays(part, dims)
             for query, label, depth, vec in zip(*(queries[c].to_pylist() for c in ("query", "label", "depth", "vec")), strict=True):
                 i, j = _range(labels, label, depth)
                 if i == j:
                     continue
-                q = np.array(vec, np.float32)
-                x = codes[i:j].astype(np.float32)
-                near = scales[i:j] ** 2 * (x * x).sum(axis=1) - 2 * scales[i:j] * (x @ q)
-                near[ids[i:j] == query] = np.inf
-                best = np.argpartition(near, keep)[:keep] if len(near) > keep else np.arange(len(near))
-                best = best[np.isfinite(near[best])]
+                q = np.array(vec, np.float64)
+                low, high = (np.concatenate(c) for c in zip(*(bounds(q, *(c[a:min(a + SLICE, j)] for c in (scales, errors, codes))) for a in range(i, j, SLICE)), strict=True))
+                own = ids[i:j] == query
+                high[own] = np.inf
+                kth = np.partition(high, k - 1)[k - 1] if len(high) >= k else np.inf
+                best = ids[i:j][~(low > kth) & ~own]
                 out_q.append(np.full(len(best), query))
-                out_r.append(ids[i:j][best])
+                out_r.append(best)
         empty = [np.empty(0, np.int64)]
         return pa.table({"query": np.concatenate(out_q or empty).astype(np.int64), "rep": np.concatenate(out_r or empty)})
 
     return search
 
 
+def _rounds(parts: DataFrame, ask: DataFrame, f: Forest, dims: int, k: int) -> DataFrame:
+    """(query, rep): the rows to compare exactly for each query, found in rounds over shallower and shallower parts."""
+    near, dealt = None, f.depth
+    while True:
+        at = F.shiftright("block", f.depth - dealt)
+        held, asked = parts.withColumn("block", at), ask.withColumn("block", at)
+        if dealt == 0 and f.depth > 0:  # every tree holds every row here
+            held, asked = held.filter("tree = 0"), asked.filter("tree = 0")
+        deal = ["tree", "block"]
+        sizes = held.groupBy(*deal).agg(F.ceil(F.sum(F.octet_length("labels") / 4) / CHUNK_ROWS).cast("int").alias("chunks"))
+        crowd = asked.groupBy(*deal).agg(F.ceil(F.count("*") / CHUNK_QUERIES).cast("int").alias("crowds"))
+        plan = sizes.join(crowd, deal)
+        chunk, crowds = F.pmod(F.xxhash64("labels"), F.col("chunks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("crowds") - 1))
+        cut = held.join(plan, deal).withColumn("chunk", chunk).withColumn("crowd", crowds)
+        each = F.pmod(F.xxhash64("query"), F.col("crowds")).cast("int")
+        asking = asked.join(plan, deal).withColumn("crowd", each).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        group = [*deal, "chunk", "crowd"]
+        if dealt == 0 and f.depth > 0:
+            depths = asked.select("query", F.lit(0).alias("depth"))
+        else:
+            counts = cut.select(*group, "labels").groupBy(*group).cogroup(asking.select(*group, "query", "label").groupBy(*group)) \
+                .applyInArrow(_descend(dealt), "query bigint, under array<bigint>")
+            total = counts.groupBy("query").agg(*(F.sum(F.col("under")[d]).alias(f"d{d}") for d in range(BITS + 1)))
+            # the longest prefix with enough rows under it, over all trees
+            depth = F.coalesce(*(F.when(F.col(f"d{d}") >= f.candidates, F.lit(d)) for d in range(BITS, dealt - 1, -1)))
+            depths = materialise(total.select("query", F.coalesce(depth, F.lit(dealt)).alias("depth")))
+        going = asking.join(depths.filter("depth is not null"), "query").select(*group, "query", "label", "depth", "vec")
+        found = cut.select(*group, "labels", "ids", "scales", "errors", "codes").groupBy(*group).cogroup(going.groupBy(*group)).applyInArrow(_search(dims, k), "query bigint, rep bigint")
+        near = found if near is None else near.union(found)
+        thin = depths.filter("depth is null").select("query")
+        if dealt == 0 or thin.isEmpty():
+            return near
+        ask, dealt = materialise(ask.join(thin, "query", "left_semi")), dealt // 2
+
+
 def search(vectors: DataFrame, is_query, k: int = 10, recall: float = 0.95, trees: int = TREES, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for each row where `is_query` (a condition on the id) holds.
 
     `score` is the Euclidean distance of the original vectors in double precision, ties go to
-    the smaller vec_id, and a query is not its own neighbour. With fewer than k other rows all that were
-    found are returned. See `distinct_vectors` for rows that take no part; an empty table gives an empty result; extra columns
+    the smaller vec_id, and a query is not its own neighbour. With fewer than k other rows all of them
+    are returned. See `distinct_vectors` for rows that take no part; an empty table gives an empty result; extra columns
     are ignored. `recall` is what the fitted forest finds on its probes.
     """
     spark = vectors.sparkSession
@@ -261,23 +309,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, recall: float = 0.95, tree
     wanted = sets.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "vec")
     parts = materialise(sets.select("rep", "vec").mapInArrow(_parts(f), PART))
     ask = materialise(wanted.mapInArrow(_query_parts(f), "tree int, block int, query bigint, label bigint, vec array<float>" if "float" in dict(sets.dtypes)["vec"] else "tree int, block int, query bigint, label bigint, vec array<double>"))
-    deal = ["tree", "block"]
-    sizes = parts.groupBy(*deal).agg(F.ceil(F.sum(F.octet_length("labels") / 4) / CHUNK_ROWS).cast("int").alias("chunks"))
-    crowd = ask.groupBy(*deal).agg(F.ceil(F.count("*") / CHUNK_QUERIES).cast("int").alias("crowds"))
-    plan = sizes.join(crowd, deal)
-    chunk, crowds = F.pmod(F.xxhash64("labels"), F.col("chunks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("crowds") - 1))
-    cut = parts.join(plan, deal).withColumn("chunk", chunk).withColumn("crowd", crowds)
-    each = F.pmod(F.xxhash64("query"), F.col("crowds")).cast("int")
-    asking = ask.join(plan, deal).withColumn("crowd", each).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    group = [*deal, "chunk", "crowd"]
-    counts = cut.select(*group, "labels").groupBy(*group).cogroup(asking.select(*group, "query", "label").groupBy(*group)) \
-        .applyInArrow(_descend(f), "query bigint, under array<bigint>")
-    total = counts.groupBy("query").agg(*(F.sum(F.col("under")[d]).alias(f"d{d}") for d in range(BITS + 1)))
-    # the longest prefix with enough rows under it, over all trees
-    depth = F.coalesce(*(F.when(F.col(f"d{d}") >= f.candidates, F.lit(d)) for d in range(BITS, f.depth, -1)), F.lit(f.depth))
-    depths = total.select("query", depth.alias("depth"))
-    going = asking.join(depths, "query").select(*group, "query", "label", "depth", "vec")
-    near = cut.select(*group, "labels", "ids", "scales", "codes").groupBy(*group).cogroup(going.groupBy(*group)).applyInArrow(_search(f, dims, 4 * k), "query bigint, rep bigint")
+    near = _rounds(parts, ask, f, dims, k)
     own = wanted.select(F.col("rep").alias("query"), "rep")
     pairs = near.union(own).distinct()
     there, here = sets.alias("t"), wanted.select(F.col("rep").alias("query"), F.col("vec").alias("q"))

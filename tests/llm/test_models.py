@@ -206,6 +206,16 @@ def test_neighbours_in_clusters_need_few_candidates(spark):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def test_neighbours_closer_than_the_codes(spark):
+    """Near copies whose distances are below the rounding of the codes, beside spread rows."""
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal(24)
+    x = np.concatenate([centre / np.linalg.norm(centre) + rng.standard_normal((400, 24)) * 1e-5, rng.standard_normal((4000, 24))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got, want = ({(r["query_id"], r["vec_id"]) for r in f(df, lambda i: (i < 400) & (i % 20 == 0), k=10).collect()} for f in (ann.search, ann.exact))
+    assert len(want) == 200 and len(got & want) >= 0.9 * len(want)
+
+
 # pipeline
 
 
