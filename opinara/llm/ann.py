@@ -10,7 +10,7 @@ every row. Large parts are cut into chunks of bounded size, as are the queries t
 
 `candidates` and the depth of the deal are fitted: for a bounded sample of rows the exact
 neighbours are found by one pass over all rows, and the smallest number of candidates that
-finds `recall` of them is taken. Data without any structure, such as random directions in many
+finds `recall` of them is taken, at least `k + 1` for each tree, so that some tree has k other rows. Data without any structure, such as random directions in many
 dimensions, need a large share of all rows for that.
 
 Inside a part vectors are compared as 8-bit codes, stored with their distance from the vector. By the
@@ -139,7 +139,7 @@ def fit_forest(sets: DataFrame, k: int, recall: float, trees: int = TREES, seed:
         under[p, d] = n
     under = under[:, ::-1].cumsum(axis=1)[:, ::-1]  # rows with at least this much in common
     some = np.unique(under)
-    for candidates in some:
+    for candidates in some[some >= min(trees * (k + 1), some[-1])]:
         depth = BITS - np.argmax(under[:, ::-1] >= candidates, axis=1)
         hit = (reach >= depth[at]).mean()
         if hit >= recall:
@@ -279,7 +279,7 @@ def _rounds(parts: DataFrame, ask: DataFrame, f: Forest, dims: int, k: int) -> D
             total = counts.groupBy("query").agg(*(F.sum(F.col("under")[d]).alias(f"d{d}") for d in range(BITS + 1)))
             # the longest prefix with enough rows under it, over all trees
             depth = F.coalesce(*(F.when(F.col(f"d{d}") >= f.candidates, F.lit(d)) for d in range(BITS, dealt - 1, -1)))
-            depths = materialise(total.select("query", F.coalesce(depth, F.lit(dealt)).alias("depth")))
+            depths = materialise(total.select("query", (F.coalesce(depth, F.lit(0)) if dealt == 0 else depth).alias("depth")))
         going = asking.join(depths.filter("depth is not null"), "query").select(*group, "query", "label", "depth", "vec")
         found = cut.select(*group, "labels", "ids", "scales", "errors", "codes").groupBy(*group).cogroup(going.groupBy(*group)).applyInArrow(_search(dims, k), "query bigint, rep bigint")
         near = found if near is None else near.union(found)

@@ -216,6 +216,19 @@ def test_neighbours_closer_than_the_codes(spark):
     assert len(want) == 200 and len(got & want) >= 0.9 * len(want)
 
 
+def test_neighbours_in_thin_regions(spark):
+    """Rows alone in their parts of all trees get their k neighbours like others."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((8, 16)) * 10
+    x = np.concatenate([centres[np.arange(1600) % 8] + rng.standard_normal((1600, 16)) * 0.01, rng.standard_normal((20, 16)) * 10])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    sets, _ = ann.distinct_vectors(df, "vec_id", "embedding", 11)
+    assert ann.fit_forest(sets, 10, 0.95).depth > 0
+    got, want = ({(r["query_id"], r["vec_id"]) for r in f(df, lambda i: i >= 1590, k=10).collect()} for f in (ann.search, ann.exact))
+    assert len(got) == len(want) == 300
+    assert len(got & want) >= 0.5 * len(want)
+
+
 # pipeline
 
 
