@@ -1,12 +1,13 @@
 """Masked pseudo-likelihood of documents under a small bidirectional window network.
 
-Words are hashed to buckets, and all documents' words are counted by bucket. Frequent buckets
-are classes of their own, the others are grouped into classes of equal weight. The network reads
+All documents' words are counted in Spark by their 64-bit hashes, each word by itself. Frequent words
+are classes of their own, the others are grouped into classes of equal weight. The table of distinct
+words (15 bytes each, and an index of 4 to 8) is broadcast, so it grows with the vocabulary. The network reads
 `reach` words on either side of a hidden one and gives the class probabilities; within a class the
 corpus counts decide. A document's score is the sum of log P(word | both sides) over its words.
 
 Training covers all documents: in a round every task hides one word in `mask_every` of its documents
-(another one in each round), does stochastic gradient steps in numpy from the shared parameters, and
+(other ones in each round, from a place that the document's first word decides, so that no place is left out), does stochastic gradient steps in numpy from the shared parameters, and
 the parameters are averaged over tasks, weighted by hidden words, in a tree of grouped sums.
 """
 
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from opinara.llm.common import share, shared_value
 from opinara.llm.tokens import Tokenizer, space_table
 
-BUCKET_BITS = 16
+BUCKET_BITS = 16  # least bits of the index of the words
+HELD_WORDS = 2_000_000  # hashes that a task holds before it adds them up
 CLASSES, INPUTS, WIDTH, HIDDEN, REACH = 256, 4096, 16, 32, 2
 ROUNDS, MASK_EVERY, BATCH, RATE = 2, 8, 512, 0.08
 PIECE, FAN_IN, LEVELS = 2048, 256, 3
@@ -32,10 +34,12 @@ SCORE_ROWS = 4096
 
 
 class Vocabulary(NamedTuple):
-    classes: np.ndarray  # class of each bucket
-    inputs: np.ndarray  # input id of each bucket; the last id pads
-    within: np.ndarray  # log P(bucket | class)
+    classes: np.ndarray  # class of each word; the last word stands for all unseen ones
+    inputs: np.ndarray  # input id of each word; the last id pads
+    within: np.ndarray  # log P(word | class)
     prior: np.ndarray  # log P(class)
+    words: np.ndarray  # the sorted hashes, and the largest number behind them
+    first: np.ndarray  # where the hashes with the same first bits begin
 
 
 class Network(NamedTuple):
@@ -46,42 +50,70 @@ class Network(NamedTuple):
     bias: np.ndarray
 
 
-def buckets_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def numbers_of(vocabulary: Vocabulary, hashes: np.ndarray) -> np.ndarray:
+    """The number of each word; unseen words have the last one."""
+    bits = len(vocabulary.first).bit_length() - 1
+    at = vocabulary.first[hashes >> np.uint64(64 - bits)].astype(np.int64)
+    left = np.arange(len(hashes))
+    while len(left):
+        left = left[vocabulary.words[at[left]] < hashes[left]]
+        at[left] += 1
+    at[vocabulary.words[at] != hashes] = len(vocabulary.words) - 1
+    return at
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens, total = Tokenizer(space_table()), np.zeros(1 << BUCKET_BITS, np.int64)
-    for batch in batches:
-        for w in tokens.slices(batch.column(0)):
-            total += np.bincount(buckets_of(w.hashes), minlength=len(total))
-    full = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(total[full])], names=["bucket", "n"])
+    tokens, held, n = Tokenizer(space_table()), [], 0
 
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        words, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        total = np.zeros(len(words), np.int64)
+        np.add.at(total, place, np.concatenate([h[1] for h in held]))
+        return words, total
 
-def count_words(docs: DataFrame) -> np.ndarray:
-    """Occurrences of each bucket in all documents."""
-    rows = docs.select("text").mapInArrow(_count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(1 << BUCKET_BITS, np.int64)
-    for bucket, n in rows:
-        out[bucket] = n
-    return out
-
+    def rows(words: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(total)], names=["word", "n"])
 
-def build_vocabulary(counts: np.ndarray) -> Vocabulary:
+    for batch in batches:
+        for w in tokens.slices(batch.column(0)):
+            held.append(np.unique(w.hashes, return_counts=True))
+            n += len(held[-1][0])
+            if n > HELD_WORDS:
+                held = [added()]
+                n = len(held[0][0])
+                if 2 * n > HELD_WORDS:
+                    yield rows(*held[0])
+                    held, n = [], 0
+    if held:
+        yield rows(*added())
+
+
+def count_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, occurrences) of each distinct word of all documents, by hash."""
+    table = docs.select("text").mapInArrow(_count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    words, n = table["word"].to_numpy().view(np.uint64), table["n"].to_numpy()
+    order = np.argsort(words)
+    return words[order], n[order]
+
+
+def build_vocabulary(counts: np.ndarray, words: np.ndarray | None = None) -> Vocabulary:
+    """From the occurrences of the sorted hashes `words` and, as the last entry, of unseen words; without `words` numbers cannot be looked up."""
+    words = np.arange(len(counts) - 1, dtype=np.uint64) if words is None else words
+    bits = max(BUCKET_BITS, len(words).bit_length())
+    first = np.searchsorted(words, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32 if len(words) < 1 << 31 else np.int64)
     order = np.argsort(-counts, kind="stable")
     own = CLASSES // 2
-    classes, inputs = np.empty(len(counts), np.int64), np.empty(len(counts), np.int64)
-    classes[order[:own]] = np.arange(own)
+    classes, inputs = np.empty(len(counts), np.uint8), np.empty(len(counts), np.uint16)  # CLASSES and INPUTS fit
+    classes[order[:own]] = np.arange(len(order[:own]))
     rest = order[own:]
     weight = np.cumsum(counts[rest] + 1.0)
-    classes[rest] = own + np.minimum((weight / weight[-1] * (CLASSES - own)).astype(np.int64), CLASSES - own - 1)
+    classes[rest] = own + np.minimum((weight / weight[-1:] * (CLASSES - own)).astype(np.int64), CLASSES - own - 1)
     plain = INPUTS // 2
-    inputs[order[:plain]] = np.arange(plain)
+    inputs[order[:plain]] = np.arange(len(order[:plain]))
     inputs[order[plain:]] = plain + order[plain:] % (INPUTS - plain - 1)
     smooth = counts + 1.0
     total = np.bincount(classes, smooth, CLASSES)
-    return Vocabulary(classes, inputs, np.log(smooth / total[classes]).astype(np.float32), np.log((total + 1) / (total + 1).sum()).astype(np.float32))
+    return Vocabulary(classes, inputs, np.log(smooth / total[classes]).astype(np.float32), np.log((total + 1) / (total + 1).sum()).astype(np.float32), np.append(words, np.uint64(2**64 - 1)), first)
 
 
 def new_network(prior: np.ndarray, seed: int = 3) -> Network:
@@ -131,6 +163,15 @@ def train(net: Network, context: np.ndarray, target: np.ndarray, memory: list[np
     return loss
 
 
+def hidden_places(hashes: np.ndarray, offsets: np.ndarray, round_: int, every: int) -> np.ndarray:
+    """The words to hide in a round: one in `every` of a document, from a place that its first word decides."""
+    size = np.diff(offsets)
+    begin = np.zeros(len(size), np.int64)
+    begin[size > 0] = (hashes[offsets[:-1][size > 0]] >> np.uint64(20)) % np.uint64(every)
+    place = np.arange(len(hashes)) - np.repeat(offsets[:-1], size)
+    return np.flatnonzero((place + np.repeat(begin, size) + round_) % every == 0)
+
+
 def _train_task(shared, round_: int, every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = shared_value(shared)
@@ -147,11 +188,9 @@ def _train_task(shared, round_: int, every: int):
 
         for batch in batches:
             for w in tokens.slices(batch.column(0)):
-                bucket = buckets_of(w.hashes)
-                # the place in the document decides what is hidden, so every document takes part in every round it is long enough for
-                place = np.arange(len(bucket)) - np.repeat(w.offsets[:-1], np.diff(w.offsets))
-                at = np.flatnonzero((place + round_) % every == 0)
-                held.append((contexts(vocabulary.inputs[bucket], w.offsets, at), vocabulary.classes[bucket[at]]))
+                number = numbers_of(vocabulary, w.hashes)
+                at = hidden_places(w.hashes, w.offsets, round_, every)
+                held.append((contexts(vocabulary.inputs[number], w.offsets, at), vocabulary.classes[number[at]]))
                 if sum(len(h[1]) for h in held) >= 64 * BATCH:
                     steps(False)
         if held:
@@ -171,9 +210,10 @@ def _sum_pieces(table: pa.Table) -> pa.Table:
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS, mask_every: int = MASK_EVERY) -> tuple[Vocabulary, Network]:
-    """Count and train over all of `docs` (text); the driver holds one set of parameters (0.3 MB) and the bucket counts."""
+    """Count and train over all of `docs` (text); the driver holds one set of parameters (0.3 MB) and the counts of the distinct words."""
     docs = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    vocabulary = build_vocabulary(count_words(docs))
+    words, counts = count_words(docs)
+    vocabulary = build_vocabulary(np.append(counts, 0), words)
     net = new_network(vocabulary.prior)
     for r in range(rounds):
         sums = docs.mapInArrow(_train_task(share(docs.sparkSession, (vocabulary, net)), r, mask_every), "piece int, task bigint, seen bigint, sum binary")
@@ -221,7 +261,7 @@ def score(docs: DataFrame, model: tuple[Vocabulary, Network]) -> DataFrame:
         for batch in batches:
             n, total = [np.empty(0, np.int64)], [np.empty(0)]
             for w in tokens.slices(batch.column(1)):
-                each = log_probabilities(vocabulary, net, buckets_of(w.hashes), w.offsets)
+                each = log_probabilities(vocabulary, net, numbers_of(vocabulary, w.hashes), w.offsets)
                 n.append(np.diff(w.offsets))
                 total.append(np.diff(np.concatenate([[0], np.cumsum(each)])[w.offsets]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n), pa.int64()), pa.array(np.concatenate(total))], names=["doc_id", "n_words", "log_prob"])

@@ -156,6 +156,27 @@ def test_language_model(spark, edge, none):
     assert lm.score(none, lm.fit(none)).count() == 0
 
 
+def test_words_have_their_own_counts(spark):
+    """More distinct words than a fixed number of buckets could tell apart."""
+    import pyarrow as pa
+
+    rows = [(i, " ".join(f"w{i * 500 + j}" for j in range(500)) + " often" * 3) for i in range(400)]
+    v, _ = lm.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rounds=0)
+    assert len(v.within) == 400 * 500 + 2  # "often" and unseen words
+    h = next(lm.Tokenizer(lm.space_table()).slices(pa.array(["w1 w199999 often never-seen"]))).hashes
+    number = lm.numbers_of(v, h)
+    assert len(set(number.tolist())) == 4 and number[3] == len(v.within) - 1
+    total = np.exp(v.prior[v.classes[number]].astype(float) + v.within[number])
+    assert total[:3] / total[3] == pytest.approx([2, 2, 1201], rel=0.05)
+
+
+def test_every_place_is_hidden_somewhere():
+    hashes = np.random.default_rng(4).integers(0, 1 << 63, 6 * 300, dtype=np.uint64)
+    offsets = np.arange(0, len(hashes) + 1, 6)
+    for r in range(2):
+        assert set(lm.hidden_places(hashes, offsets, r, 8) % 6) == set(range(6))
+
+
 # neighbours
 
 
