@@ -82,50 +82,38 @@ def recommend_user_based(ratings: DataFrame, n: int = 10, n_neighbours: int = 50
     return _as_recs(top_scores(queries, items, n, _rated(ratings)))
 
 
-def item_similarities(ratings: DataFrame, hot_limit: int = HOT_LIMIT) -> tuple[DataFrame, DataFrame | None]:
-    """Item-item cosine over users with at most `hot_limit` ratings, and the rest as factors.
+def recommend_item_based(ratings: DataFrame, n: int = 10, hot_limit: int = HOT_LIMIT) -> DataFrame:
+    """Rating-weighted similarity to the items a user rated above 3, divided by their number.
 
-    Returns (`item_id`, `other`, `similarity`) and, when there are busier users,
-    their (`user_id`, `item_id`, `weight`) rows: the similarity of two items is
-    the first table's value plus the sum of weight products over those users.
-    A busy user's items are thus never paired with one another.
+    A similarity of two items is a sum over the users who rated both, so the score is gathered in two hops
+    and no item-item matrix is built: first a user's pull on every other user through the liked items, then that pull times the other
+    user's weights. Items with more than `hot_limit` raters pair no users: each is a dimension of its own, whose
+    list is its similarity to all items.
     """
     edges = materialise(
-        with_norm(ratings, "item_id").select("user_id", "item_id", (F.col("rating") / F.col("norm")).alias("w"))
+        with_norm(ratings, "item_id").select("user_id", "item_id", "rating", (F.col("rating") / F.col("norm")).alias("w"))
     )
-    hot = hot_keys(edges, ["user_id"], hot_limit)
-    small = edges if hot is None else edges.join(hot, "user_id", "left_anti")
-    a = small.select("user_id", F.col("item_id").alias("a"), F.col("w").alias("wa"))
-    b = small.select("user_id", F.col("item_id").alias("b"), F.col("w").alias("wb"))
-    half = a.join(b, "user_id").filter(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity"))
-    ways = [F.struct(F.col(x).alias("item_id"), F.col(y).alias("other"), "similarity") for x, y in (("a", "b"), ("b", "a"))]
-    factors = None if hot is None else edges.join(hot, "user_id", "left_semi").withColumnRenamed("w", "weight")
-    return half.select(F.inline(F.array(*ways))), factors
-
-
-def recommend_item_based(ratings: DataFrame, n: int = 10, hot_limit: int = HOT_LIMIT) -> DataFrame:
-    """Rating-weighted similarity to the items a user rated above 3, divided by their number."""
-    sims, factors = item_similarities(ratings, hot_limit)
-    liked = ratings.filter(F.col("rating") > LIKED)
+    liked = edges.filter(F.col("rating") > LIKED)
     counts = liked.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_liked"))
     liked = liked.join(counts, "user_id").select(
-        F.col("user_id").alias("query"), F.col("item_id").alias("dim"), (F.col("rating") / F.col("n_liked")).alias("qw")
+        F.col("user_id").alias("query"), "item_id", (F.col("rating") / F.col("n_liked")).alias("q")
     )
-    items = sims.select(F.col("other").alias("item"), F.col("item_id").alias("dim"), F.col("similarity").alias("iw"))
-    if factors is not None:
-        # Every busy user is one more dimension: the query's pull on it, the item's weight in it.
-        pull = (
-            liked.join(factors.select(F.col("item_id").alias("dim"), "user_id", "weight"), "dim")
-            .groupBy("query", "user_id").agg(F.sum(F.col("qw") * F.col("weight")).alias("qw"))
-        )
+    hot = hot_keys(edges, ["item_id"], hot_limit)
+    cold = edges if hot is None else edges.join(hot, "item_id", "left_anti")
+    pull = (
+        liked.join(cold.select("item_id", F.col("user_id").alias("dim"), "w"), "item_id").filter(F.col("query") != F.col("dim"))
+        .groupBy("query", "dim").agg(F.sum(F.col("q") * F.col("w")).alias("qw"))
+    )
+    lists = edges.select(F.col("item_id").alias("item"), F.col("user_id").alias("dim"), F.col("w").alias("iw"))
+    if hot is not None:
         named = lambda kind, c: F.concat_ws(":", F.lit(kind), F.col(c).cast("string"))
-        liked = liked.withColumn("dim", named("i", "dim")).unionByName(
-            pull.select("query", named("u", "user_id").alias("dim"), "qw")
-        )
-        items = items.withColumn("dim", named("i", "dim")).unionByName(
-            factors.select(F.col("item_id").alias("item"), named("u", "user_id").alias("dim"), F.col("weight").alias("iw"))
+        raters = edges.join(hot, "item_id", "left_semi").select(F.col("item_id").alias("of"), "user_id", F.col("w").alias("x"))
+        similar = raters.join(edges.select("user_id", F.col("item_id").alias("item"), "w"), "user_id").groupBy("item", "of").agg(F.sum(F.col("x") * F.col("w")).alias("iw"))
+        pull = pull.withColumn("dim", named("u", "dim")).unionByName(
+            liked.join(hot, "item_id", "left_semi").select("query", named("i", "item_id").alias("dim"), F.col("q").alias("qw"))
         )
-    return _as_recs(top_scores(liked, items, n, _rated(ratings)))
+        lists = lists.withColumn("dim", named("u", "dim")).unionByName(similar.select("item", named("i", "of").alias("dim"), "iw"))
+    return _as_recs(top_scores(pull, lists, n, _rated(ratings), hot_limit))
 
 
 def liked_items(reviews: DataFrame, model_items: DataFrame, fallback: int = 3) -> DataFrame:

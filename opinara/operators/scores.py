@@ -7,15 +7,23 @@ profiles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.scalars import fixed
-from opinara.operators.toprows import hot_keys, top_n_per_key
+from opinara.operators.toprows import top_n_per_key
 from opinara.session import materialise
 
 HOT_LIMIT = 10_000
 DIGITS = 9
+BLOCK_ENTRIES = 4_000_000  # list entries that a block of queries may need
+BLOCK_ROWS = 2_000_000  # query weights of a block
+SLICE = 1 << 20  # products that are summed at once
 
 
 def _ranked(scores: DataFrame, k: int) -> DataFrame:
@@ -35,66 +43,218 @@ def _products(queries: DataFrame, items: DataFrame) -> DataFrame:
     return queries.join(items, "dim").select("query", "item", (F.col("qw") * F.col("iw")).alias("s"))
 
 
+def _heads(hot_items: DataFrame, sizes: DataFrame, depth: int) -> DataFrame:
+    """The `depth` heaviest items of each dimension: (`dim`, `item`, `iw`, `place`, `n_items`).
+
+    They are picked from salted parts of a dimension first, so that no task sorts a whole one.
+    """
+    part = F.pmod(F.xxhash64("item"), F.ceil(F.col("n_items") / F.lit(max(16 * depth, 100_000))))
+    salted = top_n_per_key(hot_items.join(sizes, "dim").withColumn("_part", part), ["dim", "_part"], [F.desc("iw"), F.asc("item")], depth, "place")
+    return top_n_per_key(salted.drop("_part", "place"), ["dim"], [F.desc("iw"), F.asc("item")], depth, "place")
+
+
+def _lists(rows: DataFrame, *more: Column) -> DataFrame:
+    """One row for each dimension: its items and weights as arrays."""
+    packed = rows.groupBy("dim").agg(F.collect_list(F.struct("item", "iw")).alias("l"), *more)
+    return packed.select("dim", F.col("l.item").alias("items"), F.col("l.iw").alias("weights"), *(c for c in packed.columns if c not in ("dim", "l")))
+
+
+def _score_block(k: int, digits: int, norm: float):
+    """The task of a block: sums of each query's lists, its best items or, where lists are cut, all that may be among the best."""
+    unit = float(10 ** digits)
+
+    def rounded(x):
+        return np.floor(x * unit + 0.5) / unit
+
+    def best(codes: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Positions of the first `k` by rounded score, then by item; codes ascend with the items."""
+        r = rounded(scores)
+        if len(r) > k:
+            kth = np.partition(r, len(r) - k)[len(r) - k]
+            above, level = np.flatnonzero(r > kth), np.flatnonzero(r == kth)
+            at = np.concatenate([above, level[:k - len(above)]])
+        else:
+            at = np.arange(len(r))
+        return at[np.lexsort((codes[at], -r[at]))]
+
+    def block(asked: pa.Table, lists: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        query_type, item_type = asked.schema.field("query").type, asked.schema.field("item").type
+        dims = lists["of_dim"].combine_chunks()
+        flat = pc.list_flatten(lists["items"]).combine_chunks()
+        names = pc.unique(pa.chunked_array([flat, asked["item"].drop_null().combine_chunks()]))
+        names = names.take(pc.array_sort_indices(names))
+        code_of = lambda values: np.asarray(pc.index_in(values, names).fill_null(0)).astype(np.int64)
+        codes, weights = code_of(flat), pc.list_flatten(lists["weights"]).combine_chunks().to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists["items"]).combine_chunks()))]).astype(np.int64)
+        end_w = np.nan_to_num(lists["end_w"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.float64))
+        end_item = code_of(lists["end_item"].combine_chunks())
+        queries = pc.unique(asked["query"].combine_chunks())
+        of = np.asarray(pc.index_in(asked["query"].combine_chunks(), queries)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        gone = asked["item"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)[order]
+        dim = np.asarray(pc.index_in(asked["dim"].combine_chunks(), dims).fill_null(-1)).astype(np.int64)[order]
+        item, qw = code_of(asked["item"].combine_chunks())[order], np.nan_to_num(asked["qw"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.float64))[order]
+        cuts = np.searchsorted(of[order], np.arange(len(queries) + 1))
+
+        def totals(d: np.ndarray, factor: np.ndarray, use_weights: bool) -> tuple[np.ndarray, np.ndarray]:
+            """(items, sums) of the lists `d` times `factor`."""
+            lengths = starts[d + 1] - starts[d]
+            ends = np.cumsum(lengths)
+            whole = len(d) > 0 and ends[-1] * 8 > len(names)
+            dense, some = np.zeros(len(names) if whole else 0), []
+            i = 0
+            while i < len(d):
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE, "right")))
+                n = lengths[i:j]
+                at = np.arange(n.sum()) + np.repeat(starts[d[i:j]] - (np.cumsum(n) - n), n)
+                value = np.repeat(factor[i:j], n)
+                if use_weights:
+                    value *= weights[at]
+                if whole:
+                    dense += np.bincount(codes[at], value, len(names))
+                else:
+                    some.append((codes[at], value))
+                i = j
+            if whole:
+                hit = np.flatnonzero(dense > 0)
+                return hit, dense[hit]
+            if not some:
+                return np.empty(0, np.int64), np.empty(0)
+            found, back = np.unique(np.concatenate([c for c, _ in some]), return_inverse=True)
+            return found, np.bincount(back, np.concatenate([v for _, v in some]), len(found))
+
+        def emit(q: int, at: np.ndarray, values: np.ndarray, complete: bool) -> None:
+            out.append((np.full(len(at), q), at, values, np.full(len(at), complete)))
+
+        for q, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            mine = slice(a, b)
+            use = ~gone[mine] & (dim[mine] >= 0)
+            d, w = dim[mine][use], qw[mine][use]
+            found, score = totals(d, w, True)
+            left = item[mine][gone[mine]]
+            if len(left):
+                keep = ~np.isin(found, left)
+                found, score = found[keep], score[keep]
+            keep = score > 0
+            found, score = found[keep], score[keep]
+            cut = end_w[d] > 0
+            if not cut.any():
+                top = best(found, score)
+                emit(q, found[top], score[top], True)
+                continue
+            # lists are cut: what an item can still gain
+            ends, wc = end_w[d[cut]], w[cut]
+            most = float((wc * ends).sum())
+            spread_ = float(np.sqrt((wc * wc).sum()) * norm)
+            top = best(found, score)
+            kth = rounded(score[top[-1]]) if len(top) == k else -1.0
+            closed = kth > rounded(min(most, spread_) * (1 + 1e-12)) or (
+                kth == rounded(most) and found[top[-1]] <= end_item[d[cut]].max())
+            if not closed:
+                out.append((np.array([q]), np.array([-1]), np.zeros(1), np.array([False])))
+                continue
+            has, held = totals(d[cut], wc * ends, False)
+            gain = np.full(len(found), most)
+            where = np.searchsorted(has, found)
+            inside = (where < len(has)) & (has[np.minimum(where, len(has) - 1)] == found)
+            gain[inside] -= held[where[inside]]
+            may = rounded((score + np.minimum(gain, spread_)) * (1 + 1e-12)) >= kth
+            emit(q, found[may], score[may], False)
+        if not out:
+            out = [(np.empty(0, np.int64),) * 2 + (np.empty(0), np.empty(0, bool))]
+        q, at, value, complete = (np.concatenate(c) for c in zip(*out, strict=True))
+        shown = pa.array(np.where(at < 0, 0, at), mask=at < 0)
+        return pa.table({"query": queries.take(pa.array(q)).cast(query_type), "item": (names.take(shown) if len(names) else pa.nulls(len(at), item_type)).cast(item_type),
+                         "score": pa.array(value), "complete": pa.array(complete)})
+
+    return block
+
+
 def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None = None,
-               hot_limit: int = HOT_LIMIT, digits: int = DIGITS, first_depth: int | None = None) -> DataFrame:
+               hot_limit: int = HOT_LIMIT, digits: int = DIGITS, first_depth: int | None = None, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """Best `k` items per query, positive scores only: `query`, `item`, `score`, `rank`.
 
-    queries: (query, dim, qw); items: (item, dim, iw); exclude: (query, item).
-    Scores are rounded to `digits` before ranking, ties go to the lower item.
+    queries: (query, dim, qw); items: (item, dim, iw); exclude: (query, item), each row once. Rows without query, item or dimension
+    take no part. Scores are rounded to `digits` before ranking, ties go to the lower item.
 
-    A dimension held by at most `hot_limit` items is joined outright. Of a hotter
-    one only the heaviest items are joined at first. A query is done when its
-    `k`-th score beats what any item outside these lists could reach; the lists
-    of the remaining queries grow fourfold until all are done, so the result is exact.
+    Queries are dealt into blocks. A dimension is one list of items, sent once to each block that asks for it, and all
+    products of a query are summed up in its block's task, so that neither products nor sums are shuffled.
+
+    Of a dimension with more than `hot_limit` items the list holds the heaviest ones only, `first_depth` at first. What an item outside can still gain
+    is bounded by the weights at which the lists end and by the norms of the cut parts. A query whose `k`-th score beats that
+    is done: its task hands on each item that can still be among the best, and only these are completed by lookup. The lists of the other queries
+    grow fourfold until all are done, so the result is exact. A query that alone needs more than `block_entries` is joined outright.
     """
-    hot = hot_keys(items, ["dim"], hot_limit)
-    if hot is None:
-        out = _summed(_products(queries, items), exclude)
-        return _ranked(out.withColumn("score", fixed("score", digits)), k)
-
-    queries, items = materialise(queries), materialise(items)
-    q_hot, i_hot = queries.join(hot, "dim", "left_semi"), materialise(items.join(hot, "dim", "left_semi"))
-    light = materialise(_summed(_products(queries.join(hot, "dim", "left_anti"), items.join(hot, "dim", "left_anti")), None))
-    sizes = i_hot.groupBy("dim").agg(F.count(F.lit(1)).alias("n_items"))
+    spark = queries.sparkSession
+    queries = materialise(queries.filter("query is not null and dim is not null").select("query", "dim", F.col("qw").cast("double").alias("qw")))
+    items = materialise(items.filter("item is not null and dim is not null").select("item", "dim", F.col("iw").cast("double").alias("iw")))
+    query_type, item_type = dict(queries.dtypes)["query"], dict(items.dtypes)["item"]
+    if exclude is not None:
+        exclude = exclude.filter("query is not null and item is not null").select(F.col("query").cast(query_type).alias("query"), F.col("item").cast(item_type).alias("item"))
+        exclude = materialise(exclude.join(queries.select("query").distinct(), "query", "left_semi"))
+    sizes = materialise(items.groupBy("dim").agg(F.count(F.lit(1)).alias("n_items")))
+    hot = sizes.filter(F.col("n_items") > hot_limit)
+    some_hot = not hot.isEmpty()
+    no_end = [F.lit(None).cast("double").alias("end_w"), F.lit(None).cast(item_type).alias("end_item")]
+    cold = items if not some_hot else items.join(hot.select("dim"), "dim", "left_anti")
+    cold_lists = materialise(_lists(cold).select("*", *no_end))
+    norm, hot_items = 0.0, None
+    if some_hot:
+        hot_items = materialise(items.join(hot.select("dim"), "dim", "left_semi"))
+        norm = hot_items.groupBy("item").agg(F.sqrt(F.sum(F.col("iw") * F.col("iw"))).alias("n")).agg(F.max("n")).first()[0]
     depth = first_depth or max(4 * k, 256)
-    open_q = materialise(queries.select("query").distinct())
-    done = None
+    open_q, done = None, []
     while True:
-        # The heaviest `depth` items of each hot dimension, and the weight they end at.
-        heads = materialise(top_n_per_key(i_hot, ["dim"], [F.desc("iw"), F.asc("item")], depth))
-        ends = heads.filter(F.col("rank") == depth).join(sizes, "dim").filter(F.col("n_items") > depth).select(
-            "dim", F.col("iw").alias("end_w"), F.col("item").alias("end_item")
-        )
-        mine = q_hot.join(open_q, "query", "left_semi")
-        from_hot = mine.join(heads.drop("rank", "iw"), "dim").select("query", "item")
-        base = light.join(open_q, "query", "left_semi")
-        cands = from_hot.unionByName(base.select("query", "item")).distinct()
-        if exclude is not None:
-            cands = cands.join(exclude.select("query", "item"), ["query", "item"], "left_anti")
-        hot_sums = (
-            cands.join(mine, "query").join(i_hot, ["dim", "item"])
-            .select("query", "item", (F.col("qw") * F.col("iw")).alias("s"))
-        )
-        parts = hot_sums.unionByName(base.join(cands, ["query", "item"], "left_semi").select("query", "item", F.col("score").alias("s")))
-        scored = parts.groupBy("query", "item").agg(fixed(F.sum("s"), digits).alias("score")).filter(F.col("score") > 0)
-        top = materialise(_ranked(scored, k))
-        # Highest score an item outside every list can reach, and the lowest id it can have.
-        bound = mine.join(ends, "dim").groupBy("query").agg(
-            fixed(F.sum(F.col("qw") * F.col("end_w")), digits).alias("bound"), F.max("end_item").alias("after")
-        )
-        last = top.filter(F.col("rank") == k).select("query", F.col("score").alias("kth"), F.col("item").alias("kth_item"))
-        state = open_q.join(bound, "query", "left").join(last, "query", "left")
-        beaten = F.coalesce(
-            (F.col("kth") > F.col("bound")) | ((F.col("kth") == F.col("bound")) & (F.col("kth_item") <= F.col("after"))),
-            F.lit(False),
+        asked = queries if open_q is None else queries.join(open_q, "query", "left_semi")
+        left_out = exclude if exclude is None or open_q is None else exclude.join(open_q, "query", "left_semi")
+        need = F.when(F.col("n_items") > hot_limit, F.least("n_items", F.lit(depth))).otherwise(F.col("n_items"))
+        load = asked.join(sizes, "dim", "left").select("query", F.coalesce(need, F.lit(0)).alias("need"))
+        if left_out is not None:
+            load = load.unionByName(left_out.select("query", F.lit(1).alias("need")))
+        load = materialise(load.groupBy("query").agg(F.sum("need").alias("need"), F.count(F.lit(1)).alias("rows")))
+        n_need, n_rows, most = load.agg(F.sum("need"), F.sum("rows"), F.max("need")).first()
+        if n_need is None:
+            break
+        if most > block_entries:
+            heavy = materialise(load.filter(F.col("need") > block_entries).select("query"))
+            out = None if left_out is None else left_out.join(heavy, "query", "left_semi")
+            done.append(_summed(_products(asked.join(heavy, "query", "left_semi"), items), out))
+            asked = asked.join(heavy, "query", "left_anti")
+            left_out = None if left_out is None else left_out.join(heavy, "query", "left_anti")
+        lists = cold_lists
+        if some_hot:
+            heads = materialise(_heads(hot_items, sizes, depth))
+            end = F.max(F.when((F.col("place") == depth) & (F.col("n_items") > depth), F.struct("iw", "item"))).alias("end")
+            hot_lists = _lists(heads, end).select("dim", "items", "weights", F.col("end.iw").alias("end_w"), F.col("end.item").alias("end_item"))
+            lists = lists.unionByName(hot_lists)
+        held = sizes.agg(F.sum("n_items")).first()[0] or 0
+        blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // BLOCK_ROWS), 1 if held <= block_entries else -(-int(n_need) // block_entries))
+        of = F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block")
+        rows = asked.select(of, "query", "dim", "qw", F.lit(None).cast(item_type).alias("item"))
+        sent = rows.select(F.col("block").alias("to"), F.col("dim").alias("of_dim")).distinct().join(lists.withColumnRenamed("dim", "of_dim"), "of_dim")
+        if left_out is not None:
+            rows = rows.unionByName(left_out.select(of, "query", F.lit(None).cast(dict(queries.dtypes)["dim"]).alias("dim"), F.lit(None).cast("double").alias("qw"), "item"))
+        found = rows.groupBy("block").cogroup(sent.groupBy("to")).applyInArrow(
+            _score_block(k, digits, norm or 0.0), f"query {query_type}, item {item_type}, score double, complete boolean")
+        if not some_hot:
+            done.append(found.select("query", "item", "score"))
+            break
+        found = materialise(found)
+        done.append(found.filter("complete").select("query", "item", "score"))
+        partial = found.filter("item is not null and not complete").select("query", "item", "score")
+        tails = hot_items.join(heads.select("dim", "item"), ["dim", "item"], "left_anti")
+        gains = (
+            partial.select("query", "item").join(asked.join(hot.select("dim"), "dim", "left_semi"), "query").join(tails, ["dim", "item"])
+            .select("query", "item", (F.col("qw") * F.col("iw")).alias("score"))
         )
-        state = materialise(state.select("query", (F.col("bound").isNull() | beaten).alias("ok")))
-        closed = top.join(state.filter("ok"), "query", "left_semi")
-        done = closed if done is None else done.unionByName(closed)
-        open_q = state.filter(~F.col("ok")).select("query")
+        done.append(partial.unionByName(gains).groupBy("query", "item").agg(F.sum("score").alias("score")))
+        open_q = found.filter("item is null").select("query")
         if open_q.isEmpty():
-            return done
-        depth *= 4
+            break
+        open_q, depth = materialise(open_q), 4 * depth
+    whole = reduce(DataFrame.unionByName, done) if done else queries.select("query", F.lit(None).cast(item_type).alias("item"), F.col("qw").alias("score")).limit(0)
+    return _ranked(whole.withColumn("score", fixed("score", digits)).filter(F.col("score") > 0), k)
 
 
 def copy_classes(vectors: DataFrame) -> DataFrame:
