@@ -87,8 +87,9 @@ def top_partners(
     `pattern_attrs`: entities then share a pattern only if these are equal too.
     `members` ranks entities with equal sums by their `b_` attributes. The
     partner id is always the last sort column. `lead` is the score the order
-    opens with; `bound`, over an entity's sums with itself on the hot keys and
-    its plain attributes, is the most `lead` can be without a shared small key.
+    opens with; `bound`, over an entity's sums with itself on the hot keys, the
+    largest of these among all entities (`peak_` before their names) and its
+    plain attributes, is the most `lead` can be without a shared small key.
     """
     attrs, same = attrs or [], pattern_attrs or []
     hot = hot_keys(edges, [key], hot_limit)
@@ -129,6 +130,8 @@ def top_partners(
     )
     query = of
     if lead is not None and bound is not None:
+        peaks = of.agg(*[F.max(n) for n in names]).first()
+        of = of.withColumns({f"peak_{n}": F.lit(v) for n, v in zip(names, peaks, strict=True)})
         kth = first.filter(F.col("rank") == k).select(F.col("a_id").alias("id"), lead.alias("_kth"))
         query = of.join(kth, "id", "left").filter(F.col("_kth").isNull() | (F.col("_kth") <= bound + SLACK)).drop("_kth")
     query = materialise(query.select(F.col("id").alias("a_id"), F.col("pattern").alias("pa"), *[F.col(c).alias(f"a_{c}") for c in attrs]))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.scalars import fixed
-from opinara.operators.partners import HOT_LIMIT, top_partners
+from opinara.operators.partners import HOT_LIMIT
 from opinara.operators.scores import copy_classes, expand_classes, top_scores
 from opinara.operators.toprows import hot_keys, top_n_per_key
 from opinara.session import materialise
@@ -35,25 +35,19 @@ def with_norm(ratings: DataFrame, entity: str) -> DataFrame:
     return ratings.join(norms, entity)
 
 
-def _cosine(a: str | None) -> list[Column]:
-    """The query's own norm scales all of its scores alike, so it takes no part in the order.
+def cosine_neighbours(ratings: DataFrame, k: int, entity: str = "user_id", key: str = "item_id", hot_limit: int = HOT_LIMIT) -> DataFrame:
+    """The `k` most similar entities of each, by cosine of their rating vectors, those with a positive one.
 
-    Sums and norms are rounded, their quotient is not: partners with equal sums tie exactly if their rounded
-    norms are equal, with or without hot keys.
+    The query's own norm scales all of its scores alike, so it takes no part in the order. Sums and norms are rounded, their
+    quotient is not: partners with equal sums tie exactly if their rounded norms are equal. The rows of a hot key are
+    visited from the largest weight down until no other can enter the list (see `scores.top_scores`).
     """
-    return [F.desc(F.round("dot", 9) / F.round("b_norm", 9))]
-
-
-def cosine_neighbours(ratings: DataFrame, k: int, entity: str = "user_id", key: str = "item_id", hot_limit: int = HOT_LIMIT) -> DataFrame:
-    """The `k` most similar entities of each, by cosine of their rating vectors."""
-    edges = materialise(with_norm(ratings, entity).select(entity, key, "rating", "norm"))
-    best = top_partners(
-        edges, k, entity=entity, key=key, value="rating", attrs=["norm"], order=_cosine,
-        sums={"dot": lambda a, b: a * b}, members=[F.asc(F.round("b_norm", 9))], hot_limit=hot_limit,
-        lead=F.col("dot") / (F.col("b_norm") * F.col("a_norm")), bound=F.sqrt("dot") / F.col("norm"),
-    )
-    sim = fixed(F.col("dot") / (F.col("b_norm") * F.col("a_norm")))
-    return best.select(F.col("a_id").alias(entity), F.col("b_id").alias("neighbour"), sim.alias("similarity"), "rank")
+    edges = materialise(with_norm(ratings, entity).select(F.col(entity).alias("item"), F.col(key).alias("dim"), F.col("rating").alias("iw"), "norm"))
+    queries = edges.select(F.col("item").alias("query"), "dim", F.col("iw").alias("qw"))
+    norms = edges.groupBy(F.col("item").alias("query")).agg(F.first("norm").alias("own"))
+    best = top_scores(queries, edges, k, norms.select("query", F.col("query").alias("item")), hot_limit, None)
+    sim = fixed(F.col("score") / (F.col("norm") * F.col("own")))
+    return best.join(norms, "query").select(F.col("query").alias(entity), F.col("item").alias("neighbour"), sim.alias("similarity"), "rank")
 
 
 def _rated(ratings: DataFrame) -> DataFrame:

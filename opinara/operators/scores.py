@@ -24,6 +24,7 @@ DIGITS = 9
 BLOCK_ENTRIES = 4_000_000  # list entries that a block of queries may need
 BLOCK_ROWS = 2_000_000  # query weights of a block
 SLICE = 1 << 20  # products that are summed at once
+SLACK = 1e-9  # relative, for bounds
 
 
 def _ranked(scores: DataFrame, k: int) -> DataFrame:
@@ -32,43 +33,48 @@ def _ranked(scores: DataFrame, k: int) -> DataFrame:
 
 def _summed(products: DataFrame, exclude: DataFrame | None) -> DataFrame:
     """Sum products per (query, item); excluded pairs leave in the same shuffle."""
-    rows = products.select("query", "item", "s", F.lit(0).alias("x"))
+    rows = products.select("query", "item", "s", "norm", F.lit(0).alias("x"))
     if exclude is not None:
-        rows = rows.unionByName(exclude.select("query", "item", F.lit(0.0).alias("s"), F.lit(1).alias("x")))
-    total = rows.groupBy("query", "item").agg(F.sum("s").alias("score"), F.max("x").alias("x"))
+        rows = rows.unionByName(exclude.select("query", "item", F.lit(0.0).alias("s"), F.lit(0.0).alias("norm"), F.lit(1).alias("x")))
+    total = rows.groupBy("query", "item").agg(F.sum("s").alias("score"), F.max("norm").alias("norm"), F.max("x").alias("x"))
     return total.filter((F.col("x") == 0) & (F.col("score") > 0)).drop("x")
 
 
 def _products(queries: DataFrame, items: DataFrame) -> DataFrame:
-    return queries.join(items, "dim").select("query", "item", (F.col("qw") * F.col("iw")).alias("s"))
+    return queries.join(items, "dim").select("query", "item", (F.col("qw") * F.col("iw")).alias("s"), "norm")
 
 
 def _heads(hot_items: DataFrame, sizes: DataFrame, depth: int) -> DataFrame:
-    """The `depth` heaviest items of each dimension: (`dim`, `item`, `iw`, `place`, `n_items`).
+    """The `depth` items of each dimension that weigh most by `own`: with `place` and `n_items`.
 
     They are picked from salted parts of a dimension first, so that no task sorts a whole one.
     """
     part = F.pmod(F.xxhash64("item"), F.ceil(F.col("n_items") / F.lit(max(16 * depth, 100_000))))
-    salted = top_n_per_key(hot_items.join(sizes, "dim").withColumn("_part", part), ["dim", "_part"], [F.desc("iw"), F.asc("item")], depth, "place")
-    return top_n_per_key(salted.drop("_part", "place"), ["dim"], [F.desc("iw"), F.asc("item")], depth, "place")
+    salted = top_n_per_key(hot_items.join(sizes, "dim").withColumn("_part", part), ["dim", "_part"], [F.desc("own"), F.asc("item")], depth, "place")
+    return top_n_per_key(salted.drop("_part", "place"), ["dim"], [F.desc("own"), F.asc("item")], depth, "place")
 
 
 def _lists(rows: DataFrame, *more: Column) -> DataFrame:
     """One row for each dimension: its items and weights as arrays."""
-    packed = rows.groupBy("dim").agg(F.collect_list(F.struct("item", "iw")).alias("l"), *more)
-    return packed.select("dim", F.col("l.item").alias("items"), F.col("l.iw").alias("weights"), *(c for c in packed.columns if c not in ("dim", "l")))
+    packed = rows.groupBy("dim").agg(F.collect_list(F.struct("item", "iw", "norm")).alias("l"), *more)
+    return packed.select("dim", F.col("l.item").alias("items"), F.col("l.iw").alias("weights"), F.col("l.norm").alias("norms"), *(c for c in packed.columns if c not in ("dim", "l")))
 
 
-def _score_block(k: int, digits: int, norm: float):
+def _key(score: Column, norm: Column, digits: int | None) -> Column:
+    """What scores are ranked by."""
+    return F.round(score, DIGITS) / F.round(norm, DIGITS) if digits is None else fixed(score, digits)
+
+
+def _score_block(k: int, digits: int | None, norm: float):
     """The task of a block: sums of each query's lists, its best items or, where lists are cut, all that may be among the best."""
-    unit = float(10 ** digits)
+    unit = float(10 ** (digits or DIGITS))
+    tied = 1e-13 if digits is None else 0.0  # quotients carry rounding errors
 
     def rounded(x):
-        return np.floor(x * unit + 0.5) / unit
+        return x if digits is None else np.floor(x * unit + 0.5) / unit
 
-    def best(codes: np.ndarray, scores: np.ndarray) -> np.ndarray:
-        """Positions of the first `k` by rounded score, then by item; codes ascend with the items."""
-        r = rounded(scores)
+    def best(codes: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Positions of the first `k` by key, then by item; codes ascend with the items."""
         if len(r) > k:
             kth = np.partition(r, len(r) - k)[len(r) - k]
             above, level = np.flatnonzero(r > kth), np.flatnonzero(r == kth)
@@ -87,6 +93,13 @@ def _score_block(k: int, digits: int, norm: float):
         code_of = lambda values: np.asarray(pc.index_in(values, names).fill_null(0)).astype(np.int64)
         codes, weights = code_of(flat), pc.list_flatten(lists["weights"]).combine_chunks().to_numpy(zero_copy_only=False)
         starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists["items"]).combine_chunks()))]).astype(np.int64)
+        divisor = np.ones(len(names))
+        if digits is None:
+            divisor[codes] = pc.list_flatten(lists["norms"]).combine_chunks().to_numpy(zero_copy_only=False)
+
+        def key(found: np.ndarray, score: np.ndarray) -> np.ndarray:
+            return rounded(score) if digits is not None else np.rint(score * unit) / unit / (np.rint(divisor[found] * unit) / unit)
+
         end_w = np.nan_to_num(lists["end_w"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.float64))
         end_item = code_of(lists["end_item"].combine_chunks())
         queries = pc.unique(asked["query"].combine_chunks())
@@ -140,17 +153,18 @@ def _score_block(k: int, digits: int, norm: float):
             found, score = found[keep], score[keep]
             cut = end_w[d] > 0
             if not cut.any():
-                top = best(found, score)
+                top = best(found, key(found, score))
                 emit(q, found[top], score[top], True)
                 continue
             # lists are cut: what an item can still gain
             ends, wc = end_w[d[cut]], w[cut]
             most = float((wc * ends).sum())
             spread_ = float(np.sqrt((wc * wc).sum()) * norm)
-            top = best(found, score)
-            kth = rounded(score[top[-1]]) if len(top) == k else -1.0
-            closed = kth > rounded(min(most, spread_) * (1 + 1e-12)) or (
-                kth == rounded(most) and found[top[-1]] <= end_item[d[cut]].max())
+            keys = key(found, score)
+            top = best(found, keys)
+            kth = keys[top[-1]] if len(top) == k else -1.0
+            closed = kth > rounded(min(most, spread_) * (1 + SLACK)) or (
+                kth >= rounded(most) * (1 - tied) and found[top[-1]] <= end_item[d[cut]].max())
             if not closed:
                 out.append((np.array([q]), np.array([-1]), np.zeros(1), np.array([False])))
                 continue
@@ -159,24 +173,25 @@ def _score_block(k: int, digits: int, norm: float):
             where = np.searchsorted(has, found)
             inside = (where < len(has)) & (has[np.minimum(where, len(has) - 1)] == found)
             gain[inside] -= held[where[inside]]
-            may = rounded((score + np.minimum(gain, spread_)) * (1 + 1e-12)) >= kth
+            may = rounded((score / divisor[found] + np.minimum(gain, spread_)) * (1 + SLACK)) >= kth
             emit(q, found[may], score[may], False)
         if not out:
             out = [(np.empty(0, np.int64),) * 2 + (np.empty(0), np.empty(0, bool))]
         q, at, value, complete = (np.concatenate(c) for c in zip(*out, strict=True))
         shown = pa.array(np.where(at < 0, 0, at), mask=at < 0)
         return pa.table({"query": queries.take(pa.array(q)).cast(query_type), "item": (names.take(shown) if len(names) else pa.nulls(len(at), item_type)).cast(item_type),
-                         "score": pa.array(value), "complete": pa.array(complete)})
+                         "score": pa.array(value), "norm": pa.array(np.where(at < 0, 1.0, divisor[np.maximum(at, 0)] if len(names) else 1.0)), "complete": pa.array(complete)})
 
     return block
 
 
 def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None = None,
-               hot_limit: int = HOT_LIMIT, digits: int = DIGITS, first_depth: int | None = None, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+               hot_limit: int = HOT_LIMIT, digits: int | None = DIGITS, first_depth: int | None = None, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """Best `k` items per query, positive scores only: `query`, `item`, `score`, `rank`.
 
     queries: (query, dim, qw); items: (item, dim, iw); exclude: (query, item), each row once. Rows without query, item or dimension
-    take no part. Scores are rounded to `digits` before ranking, ties go to the lower item.
+    take no part. Scores are rounded to `digits` before ranking, ties go to the lower item. With `digits` None items have a `norm` too, the same in
+    all rows of an item: they are ranked by their rounded score over their rounded norm, and the result has the plain score and the norm.
 
     Queries are dealt into blocks. A dimension is one list of items, sent once to each block that asks for it, and all
     products of a query are summed up in its block's task, so that neither products nor sums are shuffled.
@@ -188,7 +203,9 @@ def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame
     """
     spark = queries.sparkSession
     queries = materialise(queries.filter("query is not null and dim is not null").select("query", "dim", F.col("qw").cast("double").alias("qw")))
-    items = materialise(items.filter("item is not null and dim is not null").select("item", "dim", F.col("iw").cast("double").alias("iw")))
+    norm_of = F.col("norm") if digits is None else F.lit(1.0)
+    own = F.round("iw", DIGITS) / F.round(norm_of, DIGITS) if digits is None else F.col("iw")
+    items = materialise(items.filter("item is not null and dim is not null").select("item", "dim", F.col("iw").cast("double").alias("iw"), norm_of.alias("norm")))
     query_type, item_type = dict(queries.dtypes)["query"], dict(items.dtypes)["item"]
     if exclude is not None:
         exclude = exclude.filter("query is not null and item is not null").select(F.col("query").cast(query_type).alias("query"), F.col("item").cast(item_type).alias("item"))
@@ -201,8 +218,8 @@ def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame
     cold_lists = materialise(_lists(cold).select("*", *no_end))
     norm, hot_items = 0.0, None
     if some_hot:
-        hot_items = materialise(items.join(hot.select("dim"), "dim", "left_semi"))
-        norm = hot_items.groupBy("item").agg(F.sqrt(F.sum(F.col("iw") * F.col("iw"))).alias("n")).agg(F.max("n")).first()[0]
+        hot_items = materialise(items.join(hot.select("dim"), "dim", "left_semi").withColumn("own", own))
+        norm = hot_items.groupBy("item").agg(F.sqrt(F.sum(F.col("own") * F.col("own"))).alias("n")).agg(F.max("n")).first()[0]
     depth = first_depth or max(4 * k, 256)
     open_q, done = None, []
     while True:
@@ -225,8 +242,8 @@ def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame
         lists = cold_lists
         if some_hot:
             heads = materialise(_heads(hot_items, sizes, depth))
-            end = F.max(F.when((F.col("place") == depth) & (F.col("n_items") > depth), F.struct("iw", "item"))).alias("end")
-            hot_lists = _lists(heads, end).select("dim", "items", "weights", F.col("end.iw").alias("end_w"), F.col("end.item").alias("end_item"))
+            end = F.max(F.when((F.col("place") == depth) & (F.col("n_items") > depth), F.struct("own", "item"))).alias("end")
+            hot_lists = _lists(heads, end).select("dim", "items", "weights", "norms", F.col("end.own").alias("end_w"), F.col("end.item").alias("end_item"))
             lists = lists.unionByName(hot_lists)
         held = sizes.agg(F.sum("n_items")).first()[0] or 0
         blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // BLOCK_ROWS), 1 if held <= block_entries else -(-int(n_need) // block_entries))
@@ -236,25 +253,27 @@ def top_scores(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame
         if left_out is not None:
             rows = rows.unionByName(left_out.select(of, "query", F.lit(None).cast(dict(queries.dtypes)["dim"]).alias("dim"), F.lit(None).cast("double").alias("qw"), "item"))
         found = rows.groupBy("block").cogroup(sent.groupBy("to")).applyInArrow(
-            _score_block(k, digits, norm or 0.0), f"query {query_type}, item {item_type}, score double, complete boolean")
+            _score_block(k, digits, norm or 0.0), f"query {query_type}, item {item_type}, score double, norm double, complete boolean")
         if not some_hot:
-            done.append(found.select("query", "item", "score"))
+            done.append(found.select("query", "item", "score", "norm"))
             break
         found = materialise(found)
-        done.append(found.filter("complete").select("query", "item", "score"))
-        partial = found.filter("item is not null and not complete").select("query", "item", "score")
+        done.append(found.filter("complete").select("query", "item", "score", "norm"))
+        partial = found.filter("item is not null and not complete").select("query", "item", "score", "norm")
         tails = hot_items.join(heads.select("dim", "item"), ["dim", "item"], "left_anti")
         gains = (
             partial.select("query", "item").join(asked.join(hot.select("dim"), "dim", "left_semi"), "query").join(tails, ["dim", "item"])
-            .select("query", "item", (F.col("qw") * F.col("iw")).alias("score"))
+            .select("query", "item", (F.col("qw") * F.col("iw")).alias("score"), "norm")
         )
-        done.append(partial.unionByName(gains).groupBy("query", "item").agg(F.sum("score").alias("score")))
+        done.append(partial.unionByName(gains).groupBy("query", "item").agg(F.sum("score").alias("score"), F.max("norm").alias("norm")))
         open_q = found.filter("item is null").select("query")
         if open_q.isEmpty():
             break
         open_q, depth = materialise(open_q), 4 * depth
-    whole = reduce(DataFrame.unionByName, done) if done else queries.select("query", F.lit(None).cast(item_type).alias("item"), F.col("qw").alias("score")).limit(0)
-    return _ranked(whole.withColumn("score", fixed("score", digits)).filter(F.col("score") > 0), k)
+    none = queries.select("query", F.lit(None).cast(item_type).alias("item"), F.col("qw").alias("score"), F.lit(1.0).alias("norm")).limit(0)
+    whole = reduce(DataFrame.unionByName, done or [none]).withColumn("key", _key(F.col("score"), F.col("norm"), digits)).filter(F.col("key") > 0)
+    top = top_n_per_key(whole, ["query"], [F.desc("key"), F.asc("item")], k)
+    return top.drop("key") if digits is None else top.select("query", "item", F.col("key").alias("score"), "rank")
 
 
 def copy_classes(vectors: DataFrame) -> DataFrame:
