@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 DIMENSIONS, SEED = 1024, 7
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 17  # characters that are spread out into arrays at once
+PASS_BYTES = 4 << 20  # rows that are handed on at once
+STEP = 2048  # trigrams that are bound at once
 TABLE = 1 << 22  # trigram codes that are looked up in a table; more are sorted
 MAX_LANGUAGES = 10_000
 
@@ -43,7 +45,7 @@ class Trigrams:
     def __init__(self, dimensions: int):
         self.dimensions, self.is_letter = dimensions, letter_table()
         self.letters: dict[int, np.ndarray] = {}
-        self.codes, self.vectors = np.empty(0, np.uint64), np.empty((0, dimensions), np.float32)
+        self.codes, self.vectors = np.empty(0, np.uint64), np.empty((0, dimensions), np.int8)
 
     def _letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
@@ -56,36 +58,35 @@ class Trigrams:
         if len(new):
             if len(self.codes) + len(new) > 20_000:  # keeps memory bounded for very large alphabets
                 self.codes, self.vectors, new = self.codes[:0], self.vectors[:0], codes
-            made = np.empty((len(new), self.dimensions), np.float32)
+            made = np.empty((len(new), self.dimensions), np.int8)
             for i, code in enumerate(new.tolist()):
                 a, b, c = code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF
                 made[i] = np.roll(self._letter(a), 2) * np.roll(self._letter(b), 1) * self._letter(c)
             order = np.argsort(np.concatenate([self.codes, new]), kind="stable")
             self.codes, self.vectors = np.concatenate([self.codes, new])[order], np.concatenate([self.vectors, made])[order]
-        return self.vectors[np.searchsorted(self.codes, codes)]
+        return self.vectors[np.searchsorted(self.codes, codes)].astype(np.float32)
 
     def counts(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(codes, counts of each row) for consecutive rows of a text column."""
-        texts = pc.utf8_lower(pc.fill_null(column, "")).to_pylist()
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.utf8_length(column), 0), np.int64))
         i = 0
-        while i < len(texts):
-            j, size = i, 0
-            while j < len(texts) and (j == i or size + len(texts[j]) <= SLICE_CHARS):
-                size, j = size + len(texts[j]), j + 1
-            part = texts[i:j]
+        while i < len(column):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE_CHARS, "right")))
+            part = pc.utf8_lower(pc.fill_null(column.slice(i, j - i), "")).to_pylist()
             joined = "\n" + "\n".join(part) + "\n"
             points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-            row = np.repeat(np.arange(len(part)), [len(t) + 1 for t in part])
+            row = np.repeat(np.arange(len(part), dtype=np.int32), [len(t) + 1 for t in part])
             letter = self.is_letter[points]
             at = np.flatnonzero(letter)
             alphabet, small = np.unique(points[at], return_inverse=True)
             symbol = np.zeros(len(points), np.int64)
             symbol[at] = small + 1
             size = len(alphabet) + 1
+            symbol = symbol.astype(np.int32) if size ** 3 <= TABLE else symbol
             code = (symbol[at - 1] * size + symbol[at]) * size + symbol[at + 1]
             if size ** 3 <= TABLE:
                 present = np.flatnonzero(np.bincount(code, minlength=size ** 3))
-                place = np.zeros(size ** 3, np.int64)
+                place = np.zeros(size ** 3, np.int32)
                 place[present] = np.arange(len(present))
                 place = place[code]
             else:
@@ -100,16 +101,15 @@ class Trigrams:
             for a in range(0, len(part), step):
                 b = min(a + step, len(part))
                 lo, hi = np.searchsorted(rows, a), np.searchsorted(rows, b)
-                flat = (rows[lo:hi] - a) * len(codes) + rank[place[lo:hi]]
+                flat = (rows[lo:hi] - a).astype(np.int64) * len(codes) + rank[place[lo:hi]]
                 yield codes[order], np.bincount(flat, minlength=(b - a) * len(codes)).reshape(b - a, len(codes)).astype(np.float32)
             i = j
 
     def profiles(self, column: pa.Array) -> Iterator[np.ndarray]:
         for codes, counts in self.counts(column):
-            step = 10_000
             total = np.zeros((len(counts), self.dimensions), np.float32)
-            for i in range(0, len(codes), step):
-                total += counts[:, i:i + step] @ self.bind(codes[i:i + step])
+            for i in range(0, len(codes), STEP):
+                total += counts[:, i:i + STEP] @ self.bind(codes[i:i + STEP])
             yield total
 
 
@@ -123,8 +123,8 @@ def _bundles(dimensions: int):
                 start += len(counts)
                 names = sorted(set(here))
                 summed = np.stack([counts[here == x].sum(axis=0, dtype=np.float64) for x in names]) if names else np.empty((0, len(codes)))
-                for i in range(0, len(codes), 10_000):
-                    part = summed[:, i:i + 10_000] @ grams.bind(codes[i:i + 10_000])
+                for i in range(0, len(codes), STEP):
+                    part = summed[:, i:i + STEP] @ grams.bind(codes[i:i + STEP])
                     for x, v in zip(names, part, strict=True):
                         sums[x] = sums.get(x, 0) + v
         names = list(sums)
@@ -160,9 +160,19 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
     names, schema = np.array([*names, UNKNOWN], object), docs.select(*(f"`{c}`" for c in kept)).schema
     at = [c.lower() for c in kept].index("text")
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The batches, cut by the bytes of their texts."""
+        for batch in batches:
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0), np.int64))
+            i = 0
+            while i < len(batch):
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PASS_BYTES, "right")))
+                yield batch.slice(i, j - i)
+                i = j
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Trigrams(len(matrix))
-        for batch in batches:
+        for batch in parts(batches):
             best, scores = [], []
             for x in grams.profiles(batch.column(at)):
                 length = np.linalg.norm(x, axis=1)

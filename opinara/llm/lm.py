@@ -30,7 +30,8 @@ HELD_WORDS = 2_000_000  # hashes that a task holds before it adds them up
 CLASSES, INPUTS, WIDTH, HIDDEN, REACH = 256, 4096, 16, 32, 2
 ROUNDS, MASK_EVERY, BATCH, RATE = 2, 8, 512, 0.08
 PIECE, FAN_IN, LEVELS = 2048, 256, 3
-SCORE_ROWS = 4096
+SCORE_ROWS = 1024  # their logits stay in the cache
+SAFE = 80.0  # exp of at most this stays finite in single precision
 
 
 class Vocabulary(NamedTuple):
@@ -134,10 +135,17 @@ def contexts(inputs: np.ndarray, offsets: np.ndarray, at: np.ndarray) -> np.ndar
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _exp(x: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray | float]:
+    """exp(x - top), in place, and top: a row's largest value, or 0 where no value is above `most` and that cannot overflow."""
+    top = 0.0 if most < SAFE else x.max(axis=1, keepdims=True)
+    if most >= SAFE:
+        x -= top
+    return np.exp(x, out=x), top
+
+
+def _most(net: Network) -> float:
+    """No logit can be larger in magnitude: the hidden layer lies between -1 and 1."""
+    return float((np.abs(net.outputs).sum(axis=0) + np.abs(net.bias)).max())
 
 
 def train(net: Network, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> float:
@@ -145,16 +153,19 @@ def train(net: Network, context: np.ndarray, target: np.ndarray, memory: list[np
     n = len(target)
     x = net.inputs[context].reshape(n, -1)
     hidden = np.tanh(x @ net.mixing + net.shift)
-    logp = _log_softmax(hidden @ net.outputs + net.bias)
-    loss = -float(logp[np.arange(n), target].mean())
-    d = np.exp(logp)
+    d = hidden @ net.outputs
+    d += net.bias
+    d, _ = _exp(d, _most(net))
+    d /= d.sum(axis=1, keepdims=True)
+    loss = -float(np.log(np.maximum(d[np.arange(n), target], np.finfo(np.float32).tiny)).mean())
     d[np.arange(n), target] -= 1
     d /= n
     back = (d @ net.outputs.T) * (1 - hidden * hidden)
     back_x = (back @ net.mixing.T).reshape(-1, WIDTH)
-    ids, place = np.unique(context.ravel(), return_inverse=True)
-    rows = np.zeros((len(ids), WIDTH), np.float32)
-    np.add.at(rows, place, back_x)
+    order = np.argsort(context, axis=None, kind="stable")
+    ids = context.ravel()[order]
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    ids, rows = ids[starts], np.add.reduceat(back_x[order], starts, axis=0)
     for p, m, g in zip(net[1:], memory[1:], (x.T @ back, back.sum(axis=0), hidden.T @ d, d.sum(axis=0)), strict=True):
         m += g * g
         p -= RATE * g / np.sqrt(m)
@@ -234,17 +245,19 @@ def log_probabilities(vocabulary: Vocabulary, net: Network, bucket: np.ndarray,
     """log P(word | both sides) of each word."""
     inputs, out = vocabulary.inputs[bucket], np.empty(len(bucket), np.float64)
     # the first layer is linear in each neighbour, so it is a sum of looked-up rows
-    tables = [net.inputs @ net.mixing[j * WIDTH:(j + 1) * WIDTH] for j in range(2 * REACH)]
+    tables, most, ones = [net.inputs @ net.mixing[j * WIDTH:(j + 1) * WIDTH] for j in range(2 * REACH)], _most(net), np.ones(CLASSES, np.float32)
     for i in range(0, len(bucket), SCORE_ROWS):
         at = np.arange(i, min(i + SCORE_ROWS, len(bucket)))
         context = contexts(inputs, offsets, at)
         hidden = tables[0][context[:, 0]]
         for j in range(1, 2 * REACH):
-            hidden = hidden + tables[j][context[:, j]]
-        logits = np.tanh(hidden + net.shift) @ net.outputs + net.bias
-        top = logits.max(axis=1)
+            hidden += tables[j][context[:, j]]
+        hidden += net.shift
+        logits = np.tanh(hidden, out=hidden) @ net.outputs
+        logits += net.bias
         target = logits[np.arange(len(at)), vocabulary.classes[bucket[at]]]
-        out[at] = target - top - np.log(np.exp(logits - top[:, None]).sum(axis=1)) + vocabulary.within[bucket[at]]
+        each, top = _exp(logits, most)
+        out[at] = target - np.ravel(top) - np.log(each @ ones) + vocabulary.within[bucket[at]]
     return out
 
 

@@ -265,8 +265,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     nodes = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     component = connected_components(nodes, candidates).withColumnRenamed("node", "k")
     every = materialise(sketch.filter("k is not null").groupBy("k").agg(
-        F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")))
-    sets = materialise(every.join(component, "k").drop("first"))
+        F.min("doc_id").alias("first"), F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text_key")).alias("row"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    sets = materialise(every.join(component, "k").select("k", "row.rep", "row.text_key", "copies", "n", "bands", "component"))
     sizes = sets.groupBy("component").agg(F.greatest(F.ceil(F.sum("n") / CHUNK_GRAMS), F.ceil(F.count("*") / CHUNK_SETS)).cast("int").alias("parts"), F.sum("n").alias("grams"))
     bins = F.lit(max(buckets, -(-(sets.agg(F.sum("n")).first()[0] or 0) // CHUNK_GRAMS)))
     cut = sets.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
@@ -274,7 +274,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     # small components share a group; the chunks of a large one meet in pairs
     group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), bins).cast("string")).otherwise(F.hex("component"))
     cut = cut.withColumn("other", other).withColumn("group", group).withColumn("c1", F.least("part", "other")).withColumn("c2", F.greatest("part", "other"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text").join(cut, "rep")
+    # rows of one doc_id and text are one row here, of which there may be many without doc_id
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), F.xxhash64("text").alias("text_key"), "text").join(cut, ["rep", "text_key"])
+    once = Window.partitionBy("rep", "text_key", "part", "other").orderBy(F.lit(0))
+    texts = texts.withColumn("again", F.row_number().over(once)).filter(F.col("again") == 1)
     found = materialise(texts.select("group", "c1", "c2", "k", "component", "part", "copies", "bands", "text").groupBy("group", "c1", "c2")
                         .applyInArrow(_verify(n, limit.numerator, limit.denominator), "a binary, b binary, links bigint"))
     forest = found.filter("b is not null").select("a", "b")

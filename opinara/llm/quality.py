@@ -90,7 +90,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
     The sample is `max_labelled` documents at most, half of each label where there are enough,
     picked by a hash of the doc_id; votes are weighted so that each label counts by its share of all
     labels. Null doc_ids and labels other than 0 and 1 are left out; a doc_id labelled twice
-    has its mean label.
+    has its mean label, as have equal texts of the sample.
     """
     known = labels.filter(learn & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.avg(label).alias("vote"))
     high = F.col("vote") >= 0.5
@@ -99,9 +99,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
     picked = pick(high).union(pick(~high))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
     rows = texts.select("text", F.xxhash64("text").alias("key"), "vote").mapInArrow(_sample_rows(buckets), "key bigint, vote double, x binary")
-    sample = {}
+    found: dict[int, list] = {}
     for key, vote, x in rows.orderBy("key").limit(max_labelled).collect():
-        sample.setdefault(key, (vote, x))
+        found.setdefault(key, [x]).append(vote)
+    sample = {key: (sum(votes) / len(votes), x) for key, (x, *votes) in found.items()}
     prior = shares.get(True, 0) / max(sum(shares.values()), 1)
     if not sample:
         return Model(buckets, np.ones(buckets + 1, np.float32), np.zeros((buckets + 1, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), np.zeros(0), np.zeros(0, np.int64), 0.5)
