@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 DIMENSIONS, SEED = 1024, 7
-SLICE_CHARS = 1 << 17  # characters that are spread out into arrays at once
+SLICE_CHARS = 1 << 18  # characters that are spread out into arrays at once
 PASS_BYTES = 4 << 20  # rows that are handed on at once
 STEP = 2048  # trigrams that are bound at once
+HELD_CODES = 500_000  # trigram counts that a task holds before it binds them
 TABLE = 1 << 22  # trigram codes that are looked up in a table; more are sorted
 MAX_LANGUAGES = 10_000
 
@@ -116,17 +117,31 @@ class Trigrams:
 def _bundles(dimensions: int):
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, sums = Trigrams(dimensions), {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}  # trigram counts of a language that are not bound yet
+
+        def bind() -> None:
+            for x, parts in held.items():
+                codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+                counts = np.bincount(place, np.concatenate([n for _, n in parts]), len(codes))
+                for i in range(0, len(codes), STEP):
+                    sums[x] = sums.get(x, 0) + counts[i:i + STEP] @ grams.bind(codes[i:i + STEP])
+            held.clear()
+
+        n = 0
         for batch in batches:
             langs, start = np.array(batch.column(1).to_pylist(), object), 0
             for codes, counts in grams.counts(batch.column(0)):
                 here = langs[start:start + len(counts)]
                 start += len(counts)
-                names = sorted(set(here))
-                summed = np.stack([counts[here == x].sum(axis=0, dtype=np.float64) for x in names]) if names else np.empty((0, len(codes)))
-                for i in range(0, len(codes), STEP):
-                    part = summed[:, i:i + STEP] @ grams.bind(codes[i:i + STEP])
-                    for x, v in zip(names, part, strict=True):
-                        sums[x] = sums.get(x, 0) + v
+                for x in set(here):
+                    total = counts[here == x].sum(axis=0, dtype=np.float64)
+                    some = np.flatnonzero(total)
+                    held.setdefault(x, []).append((codes[some], total[some]))
+                    n += len(some)
+                if n > HELD_CODES:
+                    bind()
+                    n = 0
+        bind()
         names = list(sums)
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([sums[x] for x in names], pa.list_(pa.float64()))], names=["lang", "v"])
 
