@@ -5,11 +5,8 @@ Inputs are (`id`, `vector`) tables with array vectors.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.vectors import as_doubles
+from opinara.operators import kmeans as KM
 from opinara.operators.toprows import top_n_per_key
 from opinara.session import materialise
 
 STARTS = 10
-PARALLEL_FITS = 5
 
 
 def _literal(values):
@@ -31,9 +28,9 @@ def _literal(values):
 
 def standardise(features: DataFrame) -> DataFrame:
     """Zero mean and unit population deviation per coordinate; a constant coordinate becomes 0."""
-    m = features.select(Summarizer.metrics("mean", "variance", "count").summary(array_to_vector(as_doubles("vector"))).alias("s")).first()
-    if m is None or m["s"]["count"] == 0:
+    if features.isEmpty():
         return features
+    m = features.select(Summarizer.metrics("mean", "variance", "count").summary(array_to_vector(as_doubles("vector"))).alias("s")).first()
     n, mean, var = m["s"]["count"], m["s"]["mean"].toArray(), m["s"]["variance"].toArray()  # one value per coordinate
     std = np.sqrt(var * (n - 1) / n)
     std[std == 0] = 1.0
@@ -42,25 +39,14 @@ def standardise(features: DataFrame) -> DataFrame:
 
 
 def _prepared(features: DataFrame) -> DataFrame:
-    """Rows in id order per partition, so that one seed gives one result."""
-    rows = features.select("id", as_doubles("vector").alias("vector")).repartition("id").sortWithinPartitions("id")
-    return materialise(rows).withColumn("features", array_to_vector("vector"))
+    """(`ticket`, `id`, `vector`), on every core: the ticket decides draws, whatever the partitions."""
+    data = materialise(features.select(F.xxhash64("id").alias("ticket"), "id", as_doubles("vector").alias("vector")))
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    return data if len(data.inputFiles()) >= cores else materialise(data.repartition(cores))
 
 
-def _fit(data: DataFrame, k: int, starts: int, seed: int):
-    """Best of several k-means starts: (inertia, centres in lexicographic order)."""
-    def start(i: int):
-        model = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(data)
-        return model.summary.trainingCost, i, model
-
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:  # a start is many small jobs; several keep the cluster busy
-        cost, _, model = min(pool.map(inheritable_thread_target(data.sparkSession)(start), range(starts)), key=lambda x: x[:2])
-    centres = [c.tolist() for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: centres[i])
-    rank = {old: new for new, old in enumerate(order)}
-    names = F.create_map(*[F.lit(int(x)) for kv in rank.items() for x in kv])
-    labelled = model.transform(data).withColumn("cluster", names[F.col("prediction")])
-    return cost, labelled.select("id", "vector", "cluster")
+def _vectors(data: DataFrame) -> DataFrame:
+    return data.select("ticket", "vector")
 
 
 def kmeans(features: DataFrame, k: int | None = None, max_k: int = 10, starts: int = STARTS, seed: int = 42) -> DataFrame:
@@ -71,8 +57,11 @@ def kmeans(features: DataFrame, k: int | None = None, max_k: int = 10, starts: i
     scaled = standardise(features)
     if k is None:
         k = best_k(choose_k(scaled, max_k, starts, seed))
-    _, labelled = _fit(_prepared(scaled), k, starts, seed)
-    return _assignment(labelled, features)
+    data = _prepared(scaled)
+    models = KM.best_models(KM.fit_models(_vectors(data), [k], starts, seed))
+    if not models:
+        return _assignment(data.select("id", F.lit(0).alias("cluster")), features)
+    return _assignment(KM.assign(data.select("id", "vector"), models[k].centres), features)
 
 
 def _assignment(labelled: DataFrame, features: DataFrame) -> DataFrame:
@@ -82,12 +71,16 @@ def _assignment(labelled: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def choose_k(features: DataFrame, max_k: int = 10, starts: int = STARTS, seed: int = 42) -> DataFrame:
-    """(`k`, `inertia`, `silhouette`) for k = 2..`max_k`, on the features as given."""
-    data = _prepared(features)
-    rows = []
-    for k in range(2, max_k + 1):
-        cost, labelled = _fit(data, k, starts, seed)
-        rows.append((k, float(cost), silhouette(labelled)))
+    """(`k`, `inertia`, `silhouette`) for k = 2..`max_k`, on the features as given.
+
+    All numbers and all starts advance together, one pass over the vectors for each iteration.
+    """
+    data = _vectors(_prepared(features))
+    models = KM.best_models(KM.fit_models(data, list(range(2, max_k + 1)), starts, seed))
+    centres = [m.centres for m in models.values()]
+    sums = [s[:3] for s in KM.grouped_sums(data, centres)] if centres else []
+    quality = KM.mean_silhouettes(data, lambda x: [KM.squared_distances(x, c).argmin(axis=1) for c in centres], sums)
+    rows = [(k, m.inertia, s) for (k, m), s in zip(models.items(), quality, strict=True)]
     return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -233,7 +226,8 @@ def hierarchical(features: DataFrame, k: int = 5, linkage: str = "ward", seed: i
     down to `k` groups. `micro` is part of the definition: the tree starts from these groups, not from single
     rows, at every size of the table. It is exact where every distinct vector is a micro-cluster of its own.
     """
-    data = _prepared(standardise(features))
+    rows = standardise(features).select("id", as_doubles("vector").alias("vector")).repartition("id").sortWithinPartitions("id")  # one seed, one result
+    data = materialise(rows).withColumn("features", array_to_vector("vector"))
     model = KMeans(k=micro, seed=seed, maxIter=20).fit(data)
     assigned = model.transform(data).select("id", F.col("prediction").alias("small"))
     size = {r["small"]: r["n"] for r in assigned.groupBy("small").agg(F.count(F.lit(1)).alias("n")).collect()}  # `micro` rows

@@ -67,13 +67,17 @@ def recommend_user_based(ratings: DataFrame, n: int = 10, n_neighbours: int = 50
     """
     if neighbours is None:
         neighbours = cosine_neighbours(ratings, n_neighbours, hot_limit=hot_limit)
+    return _as_recs(top_scores(*_neighbour_votes(ratings, neighbours), n, _rated(ratings)))
+
+
+def _neighbour_votes(ratings: DataFrame, neighbours: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """User-based scores as sums over neighbours: the users' weights (query, dim, qw) and the items' ratings (item, dim, iw)."""
     near = neighbours.filter(F.col("similarity") > 0)
     total = F.sum("similarity").over(Window.partitionBy("user_id"))  # at most n_neighbours rows per user
     queries = near.select(
         F.col("user_id").alias("query"), F.col("neighbour").alias("dim"), (F.col("similarity") / total).alias("qw")
     )
-    items = ratings.select(F.col("item_id").alias("item"), F.col("user_id").alias("dim"), F.col("rating").alias("iw"))
-    return _as_recs(top_scores(queries, items, n, _rated(ratings)))
+    return queries, ratings.select(F.col("item_id").alias("item"), F.col("user_id").alias("dim"), F.col("rating").alias("iw"))
 
 
 def recommend_item_based(ratings: DataFrame, n: int = 10, hot_limit: int = HOT_LIMIT) -> DataFrame:
@@ -134,15 +138,7 @@ def content_scores(reviews: DataFrame, features: DataFrame, n: int = 10, hot_lim
     replaces one comparison per liked item. Items with equal vectors are scored once.
     """
     features = materialise(features.select("item_id", "term", "weight"))
-    liked = liked_items(reviews, features)
-    per_user = liked.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_liked"))
-    profile = (
-        liked.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("times"))
-        .join(per_user, "user_id").join(features, "item_id")
-        .groupBy("user_id", "term").agg(F.sum(F.col("times") / F.col("n_liked") * F.col("weight")).alias("qw"))
-        .select(F.col("user_id").alias("query"), F.col("term").alias("dim"), "qw")
-    )
-    profile = materialise(profile)
+    profile = materialise(_profiles(reviews, features))
     vectors = features.select(F.col("item_id").alias("item"), F.col("term").alias("dim"), F.col("weight").alias("iw"))
     members = materialise(copy_classes(vectors))
     heads = vectors.join(members.filter(F.col("place") == 0), "item", "left_semi")
@@ -152,6 +148,18 @@ def content_scores(reviews: DataFrame, features: DataFrame, n: int = 10, hot_lim
     return _as_recs(expand_classes(ranked, members, n, rated))
 
 
+def _profiles(reviews: DataFrame, features: DataFrame) -> DataFrame:
+    """(query, dim, qw): the mean vector of what each user likes."""
+    liked = liked_items(reviews, features)
+    per_user = liked.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_liked"))
+    return (
+        liked.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("times"))
+        .join(per_user, "user_id").join(features, "item_id")
+        .groupBy("user_id", "term").agg(F.sum(F.col("times") / F.col("n_liked") * F.col("weight")).alias("qw"))
+        .select(F.col("user_id").alias("query"), F.col("term").alias("dim"), "qw")
+    )
+
+
 def _class_scores(profile: DataFrame, heads: DataFrame, rated: DataFrame, members: DataFrame, n: int, hot_limit: int) -> DataFrame:
     """Best classes per user, enough for `n` unrated items.
 
@@ -185,6 +193,24 @@ def recommend_hybrid(user_based: DataFrame, content: DataFrame, alpha: float = 0
     return top_n_per_key(both, ["user_id"], [F.desc("score"), F.asc("item_id")], n)
 
 
+def recommend_hybrid_complete(reviews: DataFrame, features: DataFrame, alpha: float = 0.5, n: int = 10, n_neighbours: int = 50,
+                              hot_limit: int = HOT_LIMIT) -> DataFrame:
+    """`alpha * user-based score + (1 - alpha) * content score` of every item a user has not rated, without pools.
+
+    Both scores are sums of products, over neighbours and over terms, so their mix is one sum over both kinds of dimensions and no item
+    loses the part in which it ranks low. Users with neighbours only or with a profile only have that part.
+    """
+    ratings, features = materialise(rating_matrix(reviews)), materialise(features.select("item_id", "term", "weight"))
+    votes, rated = _neighbour_votes(ratings, cosine_neighbours(ratings, n_neighbours, hot_limit=hot_limit))
+    named = lambda kind: F.concat_ws(":", F.lit(kind), F.col("dim").cast("string"))
+    queries = votes.withColumns({"dim": named("user"), "qw": F.col("qw") * alpha}).unionByName(
+        _profiles(reviews, features).withColumns({"dim": named("term"), "qw": F.col("qw") * (1 - alpha)}))
+    terms = features.select(F.col("item_id").alias("item"), F.col("term").alias("dim"), F.col("weight").alias("iw"))
+    items = rated.withColumn("dim", named("user")).unionByName(terms.withColumn("dim", named("term")))
+    gone = reviews.select(F.col("user_id").alias("query"), F.col("item_id").alias("item")).distinct()
+    return _as_recs(top_scores(queries, items, n, gone))
+
+
 def _min_max_per_user(recs: DataFrame) -> DataFrame:
     w = Window.partitionBy("user_id")
     lo, hi = F.min("score").over(w), F.max("score").over(w)

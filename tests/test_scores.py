@@ -173,3 +173,28 @@ def test_shared_reviewers_of_a_hot_user(spark, multi):
     np.fill_diagonal(shared, 0)
     got = ranked(G.shared_reviewers(df, 4, multi, hot_limit=10), "item_id", "similar_item", "shared_reviewers")
     same(got, dense_top(shared.astype(float), np.eye(60), 4))
+
+
+@pytest.mark.parametrize("hot_limit", [4, 1000])
+def test_hybrid_without_pools(spark, hot_limit):
+    """An item far down both lists keeps both parts."""
+    rng = np.random.default_rng(5)
+    r = np.zeros((30, 70))
+    hit = rng.random(r.shape) < 0.15
+    r[hit] = rng.integers(1, 6, hit.sum())
+    r[np.arange(30), np.arange(30)] = 5
+    x = skewed_matrix(rng, 70, 12, 0.9, [1.0, 2.0, 3.0])
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    unit = r / np.linalg.norm(r, axis=1, keepdims=True)
+    cosine = unit @ unit.T
+    np.fill_diagonal(cosine, 0)
+    near = np.zeros_like(cosine)
+    for u in range(30):
+        best = np.lexsort((np.arange(30), -cosine[u]))[:7]
+        near[u, best] = np.floor(cosine[u, best] * 1e9 + 0.5) / 1e9
+    profile = ((r >= 4).astype(float) @ x) / np.maximum((r >= 4).sum(axis=1, keepdims=True), 1)
+    score = 0.6 * (near / near.sum(axis=1, keepdims=True)) @ r + 0.4 * profile @ x.T
+    want = dense_top(np.where(r > 0, 0, score), np.eye(70), 60)
+    reviews = spark.createDataFrame([(int(u), int(i), int(r[u, i]), 0) for u, i in np.argwhere(r)], "user_id long, item_id long, rating int, ts long")
+    features = sparse(spark, x, ("item_id", "n", "weight")).selectExpr("item_id", "cast(n as string) AS term", "weight")
+    same(ranked(R.recommend_hybrid_complete(reviews, features, 0.6, 60, 7, hot_limit), "user_id", "item_id"), want)
