@@ -192,7 +192,8 @@ def test_hybrid_without_pools(spark, hot_limit):
     for u in range(30):
         best = np.lexsort((np.arange(30), -cosine[u]))[:7]
         near[u, best] = np.floor(cosine[u, best] * 1e9 + 0.5) / 1e9
-    profile = ((r >= 4).astype(float) @ x) / np.maximum((r >= 4).sum(axis=1, keepdims=True), 1)
+    liked = ((r >= 4) & x.any(axis=1)).astype(float)  # items without terms are not in the model
+    profile = liked @ x / np.maximum(liked.sum(axis=1, keepdims=True), 1)
     score = 0.6 * (near / near.sum(axis=1, keepdims=True)) @ r + 0.4 * profile @ x.T
     want = dense_top(np.where(r > 0, 0, score), np.eye(70), 60)
     reviews = spark.createDataFrame([(int(u), int(i), int(r[u, i]), 0) for u, i in np.argwhere(r)], "user_id long, item_id long, rating int, ts long")
