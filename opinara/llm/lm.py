@@ -18,11 +18,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import share, shared_value
 from opinara.llm.tokens import Tokenizer, space_table
 
 BUCKET_BITS = 16  # least bits of the index of the words
@@ -30,6 +29,7 @@ HELD_WORDS = 2_000_000  # hashes that a task holds before it adds them up
 CLASSES, INPUTS, WIDTH, HIDDEN, REACH = 256, 4096, 16, 32, 2
 ROUNDS, MASK_EVERY, BATCH, RATE = 2, 8, 512, 0.08
 PIECE, FAN_IN, LEVELS = 2048, 256, 3
+SLICE_BYTES = 1 << 18  # text that is spread out into arrays at once
 SCORE_ROWS = 1024  # their logits stay in the cache
 SAFE = 80.0  # exp of at most this stays finite in single precision
 
@@ -51,6 +51,16 @@ class Network(NamedTuple):
     bias: np.ndarray
 
 
+def share(docs: DataFrame, vocabulary: Vocabulary, net: Network) -> Broadcast:
+    """The plain arrays, of which a worker holds one copy."""
+    return docs.sparkSession.sparkContext.broadcast((tuple(vocabulary), tuple(net)))
+
+
+def shared_model(shared: Broadcast) -> tuple[Vocabulary, Network]:
+    vocabulary, net = shared.value
+    return Vocabulary(*vocabulary), Network(*net)
+
+
 def numbers_of(vocabulary: Vocabulary, hashes: np.ndarray) -> np.ndarray:
     """The number of each word; unseen words have the last one."""
     bits = len(vocabulary.first).bit_length() - 1
@@ -64,7 +74,7 @@ def numbers_of(vocabulary: Vocabulary, hashes: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens, held, n = Tokenizer(space_table()), [], 0
+    tokens, held, n = Tokenizer(space_table(), SLICE_BYTES), [], 0
 
     def added() -> tuple[np.ndarray, np.ndarray]:
         words, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
@@ -185,8 +195,8 @@ def hidden_places(hashes: np.ndarray, offsets: np.ndarray, round_: int, every: i
 
 def _train_task(shared, round_: int, every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, start = shared_value(shared)
-        net, tokens = Network(*(p.copy() for p in start)), Tokenizer(space_table())
+        vocabulary, start = shared_model(shared)
+        net, tokens = Network(*(p.copy() for p in start)), Tokenizer(space_table(), SLICE_BYTES)
         memory, seen, held = [np.full_like(p, 1e-4) for p in net], 0, []
 
         def steps(flush: bool) -> None:
@@ -227,10 +237,12 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, mask_every: int = MASK_EVERY) ->
     vocabulary = build_vocabulary(np.append(counts, 0), words)
     net = new_network(vocabulary.prior)
     for r in range(rounds):
-        sums = docs.mapInArrow(_train_task(share(docs.sparkSession, (vocabulary, net)), r, mask_every), "piece int, task bigint, seen bigint, sum binary")
+        shared = share(docs, vocabulary, net)
+        sums = docs.mapInArrow(_train_task(shared, r, mask_every), "piece int, task bigint, seen bigint, sum binary")
         for _ in range(LEVELS):  # tasks 0 to FAN_IN - 1 meet first, then the sums of as many
             sums = sums.groupBy("piece", F.floor(F.col("task") / FAN_IN).alias("over")).applyInArrow(_sum_pieces, "piece int, task bigint, seen bigint, sum binary")
         rows = sorted(sums.collect(), key=lambda x: x["piece"])
+        shared.destroy()
         if not rows:
             break
         flat, at, new = np.concatenate([np.frombuffer(x["sum"], np.float64) for x in rows]) / rows[0]["seen"], 0, []
@@ -267,10 +279,10 @@ def score(docs: DataFrame, model: tuple[Vocabulary, Network]) -> DataFrame:
     `log_prob` sums over all words `[^\\x20\\x09-\\x0D]+` of the whole text. Null, empty and blank texts have no
     words, log_prob 0 and a null mean. Repeated rows score alike; an empty table gives an empty result.
     """
-    shared = share(docs.sparkSession, model)
+    shared = share(docs, *model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (vocabulary, net), tokens = shared_value(shared), Tokenizer(space_table())
+        (vocabulary, net), tokens = shared_model(shared), Tokenizer(space_table(), SLICE_BYTES)
         for batch in batches:
             n, total = [np.empty(0, np.int64)], [np.empty(0)]
             for w in tokens.slices(batch.column(1)):
