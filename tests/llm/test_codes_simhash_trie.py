@@ -285,3 +285,42 @@ def test_skeleton_splits_a_hot_prefix(spark):
     cuts = prefix_trie.choose_splitters(paths, 40)
     assert 30 <= len(cuts) <= 39 and all(len(c) <= 4 * prefix_trie.TURN for c in cuts)
     assert len(prefix_trie.choose_splitters(paths, 40, 60)) < 20
+
+
+# faults of earlier operators
+
+
+def test_rows_without_id_stay_linear(spark, monkeypatch):
+    """Different texts without doc_id, and copies of one, send each set's text to verification once for each chunk pair."""
+    from opinara.llm import ngram_join
+
+    story = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join([*story, f"tail{i}"])) for i in range(40)] + [(None, " ".join(story))] * 30
+    sent = []
+    plain = ngram_join._verify
+    counted = spark.sparkContext.accumulator(0)
+
+    def verify(*args):
+        inner = plain(*args)
+
+        def run(table):
+            counted.add(table.num_rows)
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(ngram_join, "_verify", verify)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = ngram_join.near_duplicates(df).collect()
+    sent.append(counted.value)
+    assert len(got) == 70 and {r["n_links"] for r in got} == {69} and {r["class_id"] for r in got} == {None}
+    assert sent[0] == 41
+
+
+def test_equal_texts_with_different_labels(spark):
+    from opinara.llm import quality
+
+    docs = spark.createDataFrame([(1, "same words here"), (2, "same words here"), (3, "other text entirely"), (4, "same words here now")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, learn=F.lit(True))
+    assert sorted(model.votes.tolist()) == [0.0, 0.5]
