@@ -13,7 +13,7 @@ from opinara.operators.lookups import with_review_stats
 from opinara.plans.eda import STATS_SQL
 from opinara.plans.graph import EDGES_SQL, _edges
 from opinara.plans.registry import query
-from opinara.session import intermediate_path
+from opinara.session import intermediate_path, materialise
 from opinara.sources import sinks
 from opinara.sources.jsonl import BAD, parse_lines
 from opinara.sources.tables import with_views
@@ -131,6 +131,26 @@ def load_years(t):
     return years.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("rating").cast("long")).alias("rating_sum"), F.countDistinct("review_id").alias("row_ids"))
 
 
+@query("refreshed_years", with_views("""SELECT CAST(year(ts) AS INT) AS year, count(*) AS old_rows,
+      count(*) FILTER (rating >= 3 OR year(ts) >= 1997) AS new_rows,
+      CAST(sum(CASE WHEN year(ts) >= 1997 THEN 10 * rating WHEN rating >= 3 THEN rating END) AS BIGINT) AS rating_sum
+    FROM reviews GROUP BY ALL HAVING count(*) FILTER (rating >= 3 OR year(ts) >= 1997) > 0"""))
+def refreshed_years(t):
+    """A table by year, replaced as a whole from its own rows, then in its latest years only; an empty replacement is refused."""
+    path = intermediate_path(t.spark, "refresh")
+    rows = t.reviews.select("user_id", "item_id", "rating", F.year("ts").alias("year"))
+    sinks.full_refresh(rows, path, ["year"])
+    table = lambda: t.spark.read.schema(rows.schema).parquet(path)
+    old = materialise(table().groupBy("year").agg(F.count(F.lit(1)).alias("old_rows")))
+    sinks.full_refresh(table().filter("rating >= 3"), path, ["year"])
+    try:
+        sinks.full_refresh(table().filter("rating > 5"), path, ["year"])
+    except ValueError:
+        sinks.refresh_partitions(rows.filter("year >= 1997").withColumn("rating", F.col("rating") * 10), path, ["year"])
+    new = table().groupBy("year").agg(F.count(F.lit(1)).alias("new_rows"), F.sum(F.col("rating").cast("long")).alias("rating_sum"))
+    return new.join(old, "year").select("year", "old_rows", "new_rows", "rating_sum")
+
+
 @query("load_document_users", with_views("""SELECT user_id, count(rating) AS review_count, round(avg(rating), 6) AS avg_rating,
     count(DISTINCT item_id) AS unique_products FROM reviews WHERE item_id IN (SELECT item_id FROM products) GROUP BY user_id"""))
 def load_document_users(t):

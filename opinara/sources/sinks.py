@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,38 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     writer.parquet(path)
 
 
+def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None, valid: Callable[[DataFrame], bool] | None = None) -> None:
+    """Replace the Parquet table at `path` by `df`, or leave it as it is.
+
+    The new table is written beside the old one, read back, checked (`valid`; by default it must have rows) and put in place by
+    renaming. `df` may read the old table. A failed write or check leaves the old table alone and raises.
+    """
+    spark, name = df.sparkSession, uuid.uuid4().hex
+    stage, old = f"{path}.stage-{name}", f"{path}.old-{name}"
+    at = {x: spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, stage, old)}
+    fs = at[path].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        write_parquet(df, stage, partition_by)
+        fresh = spark.read.schema(df.schema).parquet(stage)
+        if not (valid or (lambda t: not t.isEmpty()))(fresh):
+            raise ValueError(f"the new table for {path} did not pass its check")
+        there = fs.exists(at[path])
+        if there and not fs.rename(at[path], at[old]):
+            raise OSError(f"cannot move {path} away")
+        if not fs.rename(at[stage], at[path]):
+            if there:
+                fs.rename(at[old], at[path])
+            raise OSError(f"cannot put the new table at {path}")
+    finally:
+        fs.delete(at[stage], True)
+    fs.delete(at[old], True)
+
+
+def refresh_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace only the partitions that `df` has rows for; the others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
