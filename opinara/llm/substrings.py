@@ -3,7 +3,7 @@
 Every `window` consecutive words of a document are an edge of a De Bruijn graph
 (its nodes are the runs of `window - 1` words). An edge that occurs again
 removes the words of each occurrence but the first. The graph is far larger than
-its repeated part, so that part is found and compacted in rounds of joins:
+its repeated part, so only that part is found, by two joins:
 
 1. Documents are dealt into blocks by hash. Equal windows hold an equal smallest
    `seed`-word hash; each block sends its distinct seeds (about one per eight words)
@@ -12,10 +12,11 @@ its repeated part, so that part is found and compacted in rounds of joins:
    edge once, with its first coordinate, so a passage that a third of all documents
    hold costs one row for each block. The join answers with the first coordinate of all.
 3. Each block marks the occurrences that have an earlier one. Neighbouring edges
-   whose first occurrences are neighbours too form a nonbranching path and are
-   compacted to one span (start, words, source document, source start).
+   whose first occurrences are neighbours too become one span (start, words, source document,
+   source start), by merging runs inside the document's task.
 
-Edges are compared by two independent 64-bit hashes.
+Edges are compared by two 64-bit hashes, both made from the same 64-bit hash of each word; words
+are not compared with their source.
 """
 
 from __future__ import annotations
