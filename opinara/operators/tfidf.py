@@ -1,11 +1,7 @@
-"""Term features: relational TF-IDF and its latent reduction."""
+"""Term features: relational TF-IDF."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,56 +51,3 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, *, ngrams: bool = True, s
     return counts.withColumn("w", w).withColumn("norm", norm).select(
         "doc", "term", "tf", "df", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(0.0).alias("weight")
     )
-
-
-def latent_reduction(weights: DataFrame, k: int = 256, passes: int = 5, oversample: int = 10, seed: int = 42) -> DataFrame:
-    """(`doc`, `vector`): documents on the first `k` right singular vectors, unit length.
-
-    Randomised subspace iteration. The subspace lives on the vocabulary side, at
-    most max_features rows of `k + oversample` numbers; every pass multiplies it
-    with the matrix in the tasks and adds the products up per term. Documents
-    are never gathered.
-    """
-    terms = [r["term"] for r in weights.select("term").distinct().orderBy("term").collect()]  # at most max_features
-    size = len(terms)
-    width = min(k + oversample, size)
-    spark = weights.sparkSession
-    index = F.broadcast(spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, i int"))
-    per_doc = weights.join(index, "term").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("i", "weight"))).alias("e"))
-    rows = materialise(per_doc.select("doc", F.transform("e", lambda x: x["i"]).alias("at"), F.transform("e", lambda x: x["weight"]).alias("w")))
-
-    def dense(pdf: pd.DataFrame) -> np.ndarray:
-        out = np.zeros((len(pdf), size))
-        lengths = pdf["at"].map(len).to_numpy()
-        if lengths.sum():
-            out[np.repeat(np.arange(len(pdf)), lengths), np.concatenate(pdf["at"].tolist())] = np.concatenate(pdf["w"].tolist())
-        return out
-
-    def multiplied(basis: np.ndarray) -> np.ndarray:
-        """X'X times the basis."""
-
-        def run(batches):
-            total = np.zeros((size, basis.shape[1]))
-            for pdf in batches:
-                for start in range(0, len(pdf), 1000):
-                    x = dense(pdf.iloc[start:start + 1000])
-                    total += x.T @ (x @ basis)
-            yield pd.DataFrame({"i": np.arange(size, dtype="int32"), "v": list(total)})
-
-        parts = rows.select("at", "w").mapInPandas(run, "i int, v array<double>")
-        sums = parts.groupBy("i").agg(Summarizer.sum(array_to_vector("v")).alias("v")).orderBy("i").collect()  # max_features rows
-        return np.array([r["v"].toArray() for r in sums])
-
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0]
-    for _ in range(passes):
-        basis = np.linalg.qr(multiplied(basis))[0]
-    values, turn = np.linalg.eigh(basis.T @ multiplied(basis))
-    side = basis @ turn[:, np.argsort(-values)[:k]]
-
-    def project(batches):
-        for pdf in batches:
-            v = dense(pdf) @ side
-            length = np.linalg.norm(v, axis=1, keepdims=True)
-            yield pd.DataFrame({"doc": pdf["doc"], "vector": list(v / np.where(length == 0, 1.0, length))})
-
-    return rows.mapInPandas(project, f"doc {dict(rows.dtypes)['doc']}, vector array<double>")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from opinara.functions import scalars as S
@@ -10,10 +12,12 @@ from opinara.functions.text import title_and_description, tokens
 from opinara.operators import features as FE
 from opinara.operators import similarity as SIM
 from opinara.operators.knn import nearest_neighbours
+from opinara.operators.latent import latent_factors, latent_reduction
 from opinara.operators.lookups import with_review_stats
-from opinara.operators.tfidf import latent_reduction, tfidf
+from opinara.operators.tfidf import tfidf
 from opinara.plans.registry import query
 from opinara.plans.text import DOCS_TFIDF, TITLES_TFIDF, TOKENS_SQL, title_features
+from opinara.session import materialise
 from opinara.sources.tables import with_views
 
 PATTERN_SQL = """SELECT user_id, avg(rating) AS avg_rating, coalesce(stddev_samp(rating), 0) AS rating_std, count(rating) AS review_count,
@@ -233,7 +237,23 @@ def similar_products_hybrid(t):
 
 @query("latent_vectors")
 def latent_vectors(t):
-    return latent_reduction(tfidf(t.documents, "doc_id", "text", max_features=500), 32)
+    return latent_reduction(tfidf(t.documents, "doc_id", "text"))
+
+
+# The titles have fewer terms than directions are kept, so the products of the reduced vectors are those of the weights.
+@query("latent_category_products", with_views(f"""WITH {TITLES_TFIDF},
+    c AS (SELECT p.main_category AS category, f.term, sum(f.weight) AS w FROM f JOIN products p ON p.item_id = f.doc GROUP BY ALL),
+    n AS (SELECT p.main_category AS category, count(DISTINCT f.doc) AS n FROM f JOIN products p ON p.item_id = f.doc GROUP BY ALL)
+    SELECT a.category, b.category AS other, round(sum(a.w * b.w) / (any_value(x.n) * any_value(y.n)), 6) AS product
+    FROM c a JOIN c b ON a.term = b.term JOIN n x ON x.category = a.category JOIN n y ON y.category = b.category GROUP BY ALL"""))
+def latent_category_products(t):
+    docs, _ = latent_factors(title_features(t).withColumnRenamed("item_id", "doc"))
+    of = docs.join(t.products.select(F.col("item_id").alias("doc"), F.col("main_category").alias("category")), "doc")
+    mean = materialise(of.groupBy("category").agg(Summarizer.mean(array_to_vector("vector")).alias("v")).select("category", vector_to_array("v").alias("v")))
+    other = mean.select(F.col("category").alias("other"), F.col("v").alias("u"))
+    dims = lambda m, x: m.select(m.columns[0], F.posexplode(x).alias("i", x + "_i"))  # noqa: E731  one row for each category and direction
+    pairs = dims(mean, "v").join(dims(other, "u"), "i").groupBy("category", "other")
+    return pairs.agg(F.round(F.sum(F.col("v_i") * F.col("u_i")), 6).alias("product"))
 
 
 @query("text_embeddings_hashed")

@@ -11,8 +11,9 @@ from opinara.operators import cluster as CL
 from opinara.operators import features as FE
 from opinara.operators.dbscan import connected_components, dbscan
 from opinara.operators.knn import nearest_items, nearest_neighbours, search_cells
+from opinara.operators.latent import latent_factors, latent_reduction
 from opinara.operators.search import keyword_search
-from opinara.operators.tfidf import latent_reduction, tfidf
+from opinara.operators.tfidf import tfidf
 
 
 def table(spark, x):
@@ -120,6 +121,32 @@ def test_latent_reduction_keeps_cosines(spark):
     assert np.abs(got @ got.T - want @ want.T).max() < 0.05
 
 
+def test_latent_factors_of_a_large_vocabulary(spark):
+    rng = np.random.default_rng(5)
+    n, terms, rank = 300, 3000, 12
+    scale = 0.7 ** np.arange(rank)
+    x = (np.linalg.qr(rng.standard_normal((n, rank)))[0] * scale) @ np.linalg.qr(rng.standard_normal((terms, rank)))[0].T
+    x[np.abs(x) < np.quantile(np.abs(x), 0.9)] = 0  # sparse, of full rank again
+    x[:, 7] = 1.0  # a term of every document
+    x[3] = 0  # a document without weights
+    at = [(int(i), f"t{j}", float(x[i, j])) for i, j in zip(*np.nonzero(x))]
+    f = spark.createDataFrame(at + [(3, "t0", None), (3, "t1", 0.0)], "doc long, term string, weight double").repartition(5)
+    _, want, vt = np.linalg.svd(x, full_matrices=False)
+    docs, values = latent_factors(f, 6, passes=8, entries=2000)
+    assert np.allclose(values, want[:6], rtol=1e-4)
+    rows = {r["doc"]: r["vector"] for r in docs.collect()}
+    assert set(rows) == set(range(n)) - {3}
+    got, best = np.array([rows[i] for i in sorted(rows)]), np.delete(x, 3, 0) @ vt[:6].T
+    assert np.abs(got @ got.T - best @ best.T).max() < 1e-3
+    # more directions than the matrix has: inner products are those of the weights
+    few = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "b", 0.5), (3, "c", 1.0)], "doc long, term string, weight double")
+    docs, values = latent_factors(few, 20, passes=2)
+    rows = {r["doc"]: np.array(r["vector"]) for r in docs.collect()}
+    assert len(values) == 3 and rows[1] @ rows[2] == pytest.approx(1.0) and rows[1] @ rows[3] == pytest.approx(0, abs=1e-9)
+    docs, values = latent_factors(few.limit(0), 4)
+    assert values == [] and docs.count() == 0 and latent_reduction(few.limit(0), 4).columns == ["doc", "vector"]
+
+
 def test_bm25(spark):
     docs = spark.createDataFrame(list(enumerate(DOCS)), "id long, text string")
     got = keyword_search(docs, "id", "text", {"a": "red plate", "b": "Plate"}, "all").collect()
