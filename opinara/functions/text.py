@@ -44,6 +44,33 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(col_of(text)), F.lit(TOKEN), F.lit(0))
 
 
+# Word endings, taken off in this order: (what is kept, the ending, what takes its place).
+STEM_RULES = (
+    ("..+", "ies", "y"),
+    ("..+(?:s|x|z|ch|sh)", "es", ""),
+    (".+[^aiosu]", "s", ""),
+    ("..+o", "s", ""),
+    (".*[aeiouy].*[^aeiou]", "ing", ""),
+    (".*[aeiouy].*[^aeiou]", "ed", ""),
+    ("...+", "ly", ""),
+    ("...+", "ness", ""),
+    *((f"..*[aeiouy]{c}", c, "") for c in "bdgmnprt"),  # stopped, planning
+    ("...+", "e", ""),
+    ("..+[^aeiou]", "y", "i"),
+)
+
+
+def stem(word: Column) -> Column:
+    """A lower-case English word without its regular endings.
+
+    Beside what is taken off only the last letter can change, so a word begins with its
+    stem but for the stem's last letter.
+    """
+    for kept, ending, other in STEM_RULES:
+        word = F.regexp_replace(word, f"^({kept}){ending}$", f"$1{other}")
+    return word
+
+
 def without_stop_words(words: Column) -> Column:
     return F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opinara.functions.text import STOP_WORDS, title_and_description
+from opinara.functions.text import STEM_RULES, STOP_WORDS, title_and_description
 from opinara.operators import recommend as R
 from opinara.operators import similarity as SIM
-from opinara.operators.search import contains_search, keyword_search
+from opinara.operators.search import contains_search, field_search, keyword_search
 from opinara.operators.tfidf import tfidf
 from opinara.plans.registry import query
 from opinara.sources.tables import with_views
@@ -39,6 +39,36 @@ def keyword_search_any(t):
     return keyword_search(t.documents, "doc_id", "text", SEARCHES, "any")
 
 
+def stem_sql(word: str) -> str:
+    for kept, ending, other in STEM_RULES:
+        word = f"regexp_replace({word}, '^({kept}){ending}$', '\\1{other}')"
+    return word
+
+
+FIELDS = {"title": 2.0, "main_category": 1.0}
+FIELD_SEARCHES = {"q1": "rings", "q2": "economies bolting", "q3": "smalls gizmos", "q4": "red promos", "q5": "hot larges"}
+FIELD_SQL = f"""a(query_id, q) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in FIELD_SEARCHES.items())}),
+  q AS (SELECT DISTINCT query_id, {stem_sql("t")} AS term FROM (SELECT query_id, unnest({TOKENS_SQL.format(c="q")}) AS t FROM a)),
+  w AS (SELECT item_id AS doc, 2.0 AS weight, 1 AS field, {TOKENS_SQL.format(c="title")} AS w FROM products
+    UNION ALL SELECT item_id, 1.0, 2, {TOKENS_SQL.format(c="main_category")} FROM products),
+  al AS (SELECT field, avg(len(w)) AS avg_len FROM w GROUP BY field),
+  o AS (SELECT doc, {stem_sql("t")} AS term, CAST(weight AS DOUBLE) / (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * n / avg_len) AS tf
+    FROM (SELECT doc, weight, field, len(w) AS n, unnest(w) AS t FROM w) JOIN al USING (field)),
+  h AS (SELECT doc, term, sum(tf) AS tf FROM o WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+  d AS (SELECT term, count(*) AS df FROM h GROUP BY term),
+  s AS (SELECT q.query_id, h.doc, round(sum(ln(1 + ((SELECT count(*) FROM products) - d.df + CAST(0.5 AS DOUBLE)) / (d.df + CAST(0.5 AS DOUBLE)))
+      * h.tf * CAST(2.2 AS DOUBLE) / (h.tf + CAST(1.2 AS DOUBLE))), 9) AS score, count(*) AS matched,
+      (SELECT count(*) FROM q x WHERE x.query_id = q.query_id) AS n_terms
+    FROM h JOIN q ON q.term = h.term JOIN d ON d.term = h.term GROUP BY q.query_id, h.doc)
+  SELECT query_id, doc, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS INT) AS rank
+  FROM s WHERE matched = n_terms QUALIFY rank <= 20"""
+
+
+@query("field_search_stems", with_views("WITH " + FIELD_SQL))
+def field_search_stems(t):
+    return field_search(t.products, "item_id", FIELDS, FIELD_SEARCHES)
+
+
 @query("keyword_search_contains", with_views("""SELECT item_id, title, main_category, price FROM products
     WHERE contains(title, 'widget') OR contains(store, 'widget') ORDER BY item_id LIMIT 20"""))
 def keyword_search_contains(t):

@@ -6,13 +6,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from opinara.functions.text import stem
 from opinara.functions.vectors import l2_normalise, padded
 from opinara.operators import cluster as CL
 from opinara.operators import features as FE
 from opinara.operators.dbscan import connected_components, dbscan
 from opinara.operators.knn import nearest_items, nearest_neighbours, search_cells
 from opinara.operators.latent import latent_factors, latent_reduction
-from opinara.operators.search import keyword_search
+from opinara.operators.search import field_search, keyword_search
 from opinara.operators.tfidf import tfidf
 
 
@@ -147,6 +148,30 @@ def test_latent_factors_of_a_large_vocabulary(spark):
     assert values == [] and docs.count() == 0 and latent_reduction(few.limit(0), 4).columns == ["doc", "vector"]
 
 
+def test_stems(spark):
+    words = {"polishes": "polish", "polished": "polish", "polishing": "polish", "parties": "parti", "party": "parti", "stopped": "stop",
+             "planning": "plan", "plates": "plat", "plate": "plat", "glass": "glass", "bus": "bus", "is": "is", "ring": "ring", "sing": "sing",
+             "bed": "bed", "photos": "photo", "quickly": "quick", "happiness": "happi", "x1": "x1", "": ""}
+    rows = spark.createDataFrame(list(words.items()), "w string, s string").select("w", "s", stem(F.col("w")).alias("got")).collect()
+    assert {r["w"]: r["got"] for r in rows} == words
+    assert all(r["w"].startswith(r["got"][:-1]) for r in rows)
+
+
+def test_field_search_weighs_columns_and_meets_stems(spark):
+    docs = spark.createDataFrame([
+        (1, "Polished plates", "a set"), (2, "A set", "polished plates"), (3, "polish", None), (4, None, "plate"), (5, "boxes", "of the party"), (6, "", ""),
+    ], "id long, title string, body string")
+    find = lambda q, mode="all", **k: [r["doc"] for r in field_search(docs, "id", {"title": 2.0, "body": 1.0}, {"q": q}, mode, **k).collect()]
+    assert find("polishing plate") == [1, 2]  # by stem only, the title counts more
+    assert find("polishing box") == [] and set(find("polishing box", "any")) == {1, 2, 3, 5}
+    assert find("box parties") == [5]  # one word in each column
+    assert find("polishing", stems=False) == [] and find("polish", stems=False) == [3]
+    assert find("...") == [] and find("nothing") == []
+    assert field_search(docs.limit(0), "id", {"title": 1.0}, {"q": "plate"}).count() == 0
+    with pytest.raises(ValueError):
+        field_search(docs, "id", {"title": 0}, {"q": "plate"})
+
+
 def test_bm25(spark):
     docs = spark.createDataFrame(list(enumerate(DOCS)), "id long, text string")
     got = keyword_search(docs, "id", "text", {"a": "red plate", "b": "Plate"}, "all").collect()
