@@ -42,6 +42,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 UNROLLED = 16
+GRID_DIMS = 3  # 27 surrounding squares; each dimension more would triple them
 
 
 def _squared(x: str, y: str, dims: int, part=lambda a, b: (a - b) * (a - b)):
@@ -51,36 +52,100 @@ def _squared(x: str, y: str, dims: int, part=lambda a, b: (a - b) * (a - b)):
     return F.aggregate(F.zip_with(x, y, part), F.lit(0.0), lambda s, v: s + v)
 
 
-def _cell_pairs(cells: DataFrame, side: float, eps: float, dims: int) -> DataFrame:
-    """Ordered pairs of occupied cells whose boxes come within `eps`, each cell with itself included."""
-    g = min(dims, 3)
-    spot = [F.floor(F.col("at")[i] * F.lit(side / (2 * eps))) for i in range(g)]
-    steps = F.array(*[F.array(*[F.lit(o).cast("long") for o in off]) for off in product((-1, 0, 1), repeat=g)])
+def _apart(x, y, side):
+    away = F.greatest(F.abs(x - y) - 1.0, F.lit(0.0)) * F.lit(side)
+    return away * away
+
+
+def _grid_pairs(cells: DataFrame, side: float, eps: float, dims: int) -> DataFrame:
+    """Ordered pairs of occupied cells whose boxes come within `eps`, each cell with itself included; up to 3 dimensions."""
+    spot = [F.floor(F.col("at")[i] * F.lit(side / (2 * eps))) for i in range(dims)]
+    steps = F.array(*[F.array(*[F.lit(o).cast("long") for o in off]) for off in product((-1, 0, 1), repeat=dims)])
     a = spread(cells).select(F.col("cell").alias("a"), F.col("at").alias("a_at"), F.array(*spot).alias("s"), F.explode(steps).alias("o"))
-    a = a.select("a", "a_at", F.array(*[F.col("s")[i] + F.col("o")[i] for i in range(g)]).alias("spot"))
+    a = a.select("a", "a_at", F.array(*[F.col("s")[i] + F.col("o")[i] for i in range(dims)]).alias("spot"))
     b = cells.select(F.col("cell").alias("b"), F.col("at").alias("b_at"), F.array(*spot).alias("spot"))
+    gap = _squared("a_at", "b_at", dims, lambda x, y: _apart(x, y, side))
+    return a.join(b, "spot").filter(gap <= F.lit(eps * eps * (1 + 1e-9))).select("a", "b")
 
-    def apart(x, y):
-        away = F.greatest(F.abs(x - y) - 1.0, F.lit(0.0)) * F.lit(side)
-        return away * away
 
-    gap = _squared("a_at", "b_at", dims, apart)
-    return a.join(b, "spot").filter(gap <= F.lit(eps * eps * (1 + 1e-9))).select("a", "b")
+def _pivot_pairs(cells: DataFrame, side: float, eps: float, dims: int, pivots: int) -> DataFrame:
+    """As `_grid_pairs`, in any number of dimensions.
+
+    A cell belongs to the nearest of `pivots` cells, taken by the hash of their names. Centres of cells
+    whose boxes come within `eps` lie within reach = `eps` + a cell's diagonal of each other, so a cell
+    is also shown to every pivot that is at most twice the reach farther than its own, and around a pivot
+    only to the rings of one reach beside its own ring. What meets there is cut into chunks.
+    """
+    reach = (eps + side * sqrt(dims)) * (1 + 1e-6)
+    chosen = cells.orderBy(F.xxhash64("cell"), "cell").limit(pivots).select("at").collect()  # `pivots` rows
+    points = np.array([r["at"] for r in chosen])
+
+    def place(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            at = np.array(pdf["at"].tolist())
+            far = np.stack([np.sqrt(((at - p) ** 2).sum(axis=1)) for p in points], axis=1) * side
+            home = far.argmin(axis=1)
+            row, pivot = np.nonzero(far <= far.min(axis=1, keepdims=True) + 2 * reach)
+            yield pd.DataFrame({"cell": pdf["cell"].to_numpy()[row], "at": list(at[row]), "pivot": pivot.astype("int32"),
+                                "ring": (far[row, pivot] // reach).astype("int64"), "own": home[row] == pivot})
+
+    placed = materialise(spread(cells.select("cell", "at")).mapInPandas(place, "cell string, at array<double>, pivot int, ring bigint, own boolean"))
+    key = ["pivot", "ring"]
+    asks = placed.filter("own").drop("own")
+    shown = placed.drop("own").withColumn("ring", F.explode(F.array(*(F.col("ring") + o for o in (-1, 0, 1)))))
+    parts = lambda df, name: df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias(name))
+    sizes = materialise(parts(asks, "n_a").join(parts(shown, "n_b"), key))
+    chunk = lambda n: F.pmod(F.xxhash64("cell"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = asks.join(sizes, key).select(*key, chunk("n_a").alias("ca"), every("n_b").alias("cb"), "cell", "at")
+    right = shown.join(sizes, key).select(*key, every("n_a").alias("ca"), chunk("n_b").alias("cb"), "cell", "at")
+    right = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
+    limit = eps * eps * (1 + 1e-9)
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if x.empty or y.empty:
+            return pd.DataFrame({"a": [], "b": []}, dtype=object)
+        u, v, found = np.array(x["at"].tolist()), np.array(y["r_at"].tolist()), []
+        for start in range(0, len(u), 256):
+            gap = np.zeros((len(u[start:start + 256]), len(v)))
+            for d in range(dims):
+                gap += (np.maximum(np.abs(u[start:start + 256, d, None] - v[None, :, d]) - 1, 0) * side) ** 2
+            i, j = np.nonzero(gap <= limit)
+            found.append(pd.DataFrame({"a": x["cell"].to_numpy()[start + i], "b": y["r_cell"].to_numpy()[j]}))
+        return pd.concat(found)
+
+    keys = [*key, "ca", "cb"]
+    return left.groupBy(keys).cogroup(right.groupBy([f"r_{c}" for c in keys])).applyInPandas(meet, "a string, b string")
 
 
 def _linked_dense(pairs: DataFrame, points: DataFrame, eps: float) -> DataFrame:
     """Pairs of full cells that hold two points within `eps`, searched chunk by chunk."""
-    sizes = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("n"))
+    sizes = materialise(points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("n")))
+    pairs = materialise(pairs)
+    # Most pairs already meet among one chunk of each; only the others are searched whole.
+    once = materialise(_meeting(pairs, points, sizes, eps, first=True))
+    large = sizes.filter("n > 1").select("cell")
+    left = pairs.join(once, ["a", "b"], "left_anti")
+    left = left.join(large.withColumnRenamed("cell", "a"), "a", "left_semi").unionByName(left.join(large.withColumnRenamed("cell", "b"), "b", "left_semi")).distinct()
+    return once.unionByName(_meeting(left, points, sizes, eps, first=False))
+
+
+def _meeting(pairs: DataFrame, points: DataFrame, sizes: DataFrame, eps: float, first: bool) -> DataFrame:
+    """Those of `pairs` with two points within `eps`; with `first` only chunk 0 of each cell is looked at."""
     p = pairs.join(sizes.withColumnsRenamed({"cell": "a", "n": "n_a"}), "a").join(sizes.withColumnsRenamed({"cell": "b", "n": "n_b"}), "b")
     chunked = p.withColumn("ca", F.explode(F.sequence(F.lit(0), F.col("n_a") - 1))).withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("n_b") - 1)))
+    if first:
+        chunked = p.withColumns({"ca": F.lit(0), "cb": F.lit(0)})
     part = points.join(sizes, "cell").select("cell", F.pmod(F.xxhash64("pid"), F.col("n")).cast("int").alias("c"), "vec")
     left = chunked.join(part.withColumnsRenamed({"cell": "a", "c": "ca"}), ["a", "ca"]).select("a", "b", "ca", "cb", "vec")
     right = chunked.join(part.withColumnsRenamed({"cell": "b", "c": "cb"}), ["b", "cb"])
     keys = ["a", "b", "ca", "cb"]
-    right = right.select(*[F.col(c).alias(f"r_{c}") for c in keys], F.col("vec"))
+    right = right.select(*[F.col(c).alias(f"r_{c}") for c in keys], F.col("vec").alias("r_vec"))
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        u, v = np.array(x["vec"].tolist()), np.array(y["vec"].tolist())
+        u, v = np.array(x["vec"].tolist()), np.array(y["r_vec"].tolist())
         hit = False
         for i in range(0, len(u), 256):
             d = ((u[i:i + 256, None, :] - v[None, :, :]) ** 2).sum(axis=2)
@@ -92,7 +157,7 @@ def _linked_dense(pairs: DataFrame, points: DataFrame, eps: float) -> DataFrame:
     return left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{c}" for c in keys])).applyInPandas(meet, "a string, b string").distinct()
 
 
-def dbscan(features: DataFrame, eps: float = 0.5, min_samples: int = 5, scale: bool = True) -> DataFrame:
+def dbscan(features: DataFrame, eps: float = 0.5, min_samples: int = 5, scale: bool = True, pivots: int = 64) -> DataFrame:
     """(`id`, `cluster`, `feature_1`, `feature_2`), noise is -1.
 
     A point with `min_samples` rows within `eps`, itself included, is core;
@@ -103,7 +168,8 @@ def dbscan(features: DataFrame, eps: float = 0.5, min_samples: int = 5, scale: b
     that a cell's points lie within `eps` of each other: a cell holding
     `min_samples` rows is core as a whole and its points are never compared with
     one another. Only points of the thinner cells, fewer than `min_samples` per
-    cell, are compared with their surroundings.
+    cell, are compared with their surroundings. Up to three dimensions cells find each other
+    by the grid, beyond by their distances to `pivots` of them; the labels are the same.
     """
     base = standardise(features) if scale else features.withColumn("vector", as_doubles("vector"))
     base = materialise(base.select("id", F.col("vector").alias("vec")))
@@ -122,7 +188,7 @@ def dbscan(features: DataFrame, eps: float = 0.5, min_samples: int = 5, scale: b
         .withColumn("at", at).withColumn("cell", F.array_join(F.col("at").cast("array<bigint>").cast("array<string>"), ","))
     )
     cells = materialise(points.groupBy("cell").agg(F.first("at").alias("at"), (F.sum("w") >= min_samples).alias("full")))
-    near = materialise(_cell_pairs(cells, side, eps, dims))
+    near = materialise(_grid_pairs(cells, side, eps, dims) if dims <= GRID_DIMS else _pivot_pairs(cells, side, eps, dims, pivots))
     in_full = points.join(cells.filter("full").select("cell"), "cell", "left_semi")
     thin = points.join(cells.filter(~F.col("full")).select("cell"), "cell", "left_semi")
 

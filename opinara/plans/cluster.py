@@ -78,6 +78,24 @@ def dbscan_clusters(t):
     return dbscan(_category_vectors(t), eps=0.3, min_samples=10)
 
 
+# Labels spread from core point to core point until none changes; clusters are numbered by their lowest core id.
+def dbscan_sql(vectors: str, eps: float, min_samples: int) -> str:
+    """vectors: CTEs ending in v(id, x) with x a DOUBLE list."""
+    return f"""WITH RECURSIVE {vectors},
+    l AS (SELECT id, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
+    m AS (SELECT i, avg(x) AS m, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS s FROM l GROUP BY i),
+    z AS (SELECT id, list((x - m) / s ORDER BY i) AS x FROM l JOIN m USING (i) GROUP BY id),
+    e AS (SELECT a.id AS a, b.id AS b FROM z a JOIN z b ON list_distance(a.x, b.x) <= CAST({eps} AS DOUBLE)),
+    core AS (SELECT a AS id FROM e GROUP BY a HAVING count(*) >= {min_samples}),
+    ce AS MATERIALIZED (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+    cc(id, label) USING KEY (id) AS (SELECT id, id FROM core UNION
+      (SELECT old.id, min(c.label) FROM recurring.cc old JOIN ce ON ce.a = old.id JOIN cc c ON c.id = ce.b WHERE c.label < old.label GROUP BY old.id)),
+    nr AS (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS cluster FROM cc),
+    lb AS (SELECT id, cluster FROM nr UNION ALL SELECT e.a, min(nr.cluster) FROM e JOIN nr ON nr.id = e.b
+      WHERE e.a NOT IN (SELECT id FROM core) GROUP BY e.a)
+    SELECT v.id, coalesce(lb.cluster, -1) AS cluster, round(v.x[1], 6) AS feature_1, round(v.x[2], 6) AS feature_2 FROM v LEFT JOIN lb ON lb.id = v.id"""
+
+
 @query("dbscan_noise_flags", with_views("""WITH i AS (SELECT item_id, avg(rating) AS a, count(rating) AS n FROM reviews GROUP BY item_id),
     z AS (SELECT item_id, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS x, (n - avg(n) OVER ()) / stddev_pop(n) OVER () AS y FROM i),
     d AS (SELECT a.item_id, b.item_id AS other FROM z a JOIN z b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= CAST(0.0225 AS DOUBLE)),

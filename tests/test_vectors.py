@@ -305,6 +305,34 @@ def test_dbscan(spark, d, eps):
     assert [got[i] for i in range(len(x))] == brute_dbscan(x, eps, 5).tolist()
 
 
+def test_dbscan_in_many_dimensions(spark, monkeypatch):
+    import opinara.operators.dbscan as D
+
+    monkeypatch.setattr(D, "CHUNK", 40)  # so that rings and full cells are cut
+    rng = np.random.default_rng(16)
+    near = lambda n, at, width: at + rng.standard_normal((n, 16)) * width
+    x = np.concatenate([
+        0.5 + rng.uniform(-0.01, 0.01, (150, 16)),  # a third of all rows in one cell
+        near(60, 0.52, 0.05), near(80, 2.0, 0.08), np.linspace(2.0, 4.0, 40)[:, None] * np.ones(16), rng.uniform(-1, 5, (60, 16)),
+    ])
+    x = np.round(x[rng.permutation(len(x))], 3)
+    want = brute_dbscan(x, 0.6, 5)
+    assert len(set(want)) > 2 and -1 in want
+    for pivots in (1, 9):
+        got = {r["id"]: r["cluster"] for r in dbscan(table(spark, x), 0.6, 5, scale=False, pivots=pivots).collect()}
+        assert [got[i] for i in range(len(x))] == want.tolist()
+
+
+def test_cells_meet_by_pivots_as_by_the_grid(spark):
+    from opinara.operators.dbscan import _grid_pairs, _pivot_pairs
+
+    at = {tuple(float(v) for v in r) for r in np.random.default_rng(3).integers(-6, 7, (150, 3))}
+    cells = spark.createDataFrame([(",".join(map(str, a)), list(a)) for a in at], "cell string, at array<double>")
+    side = 0.5 / math.sqrt(3)
+    by = lambda df: sorted(map(tuple, df.collect()))
+    assert by(_pivot_pairs(cells, side, 0.5, 3, 7)) == by(_grid_pairs(cells, side, 0.5, 3))
+
+
 def test_dbscan_all_noise(spark):
     x = np.array([[0.0, 0], [5, 5], [9, 0]])
     assert {r["cluster"] for r in dbscan(table(spark, x), 0.5, 2, scale=False).collect()} == {-1}
