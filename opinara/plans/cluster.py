@@ -10,7 +10,7 @@ from opinara.operators import features as FE
 from opinara.operators.dbscan import dbscan
 from opinara.operators.lookups import with_review_stats
 from opinara.plans.registry import query
-from opinara.plans.similarity import PATTERN_SQL, _category_vectors, _metadata
+from opinara.plans.similarity import CATEGORY_V, PATTERN_SQL, _category_vectors, _metadata
 from opinara.sources.tables import with_views
 
 MICRO = 200  # groups from which the merge tree starts
@@ -73,15 +73,10 @@ def cluster_quality_of_labels(t):
     return report.select(*[r6(c).alias(c) for c in ("calinski_harabasz", "davies_bouldin", "silhouette")])
 
 
-@query("dbscan_clusters")
-def dbscan_clusters(t):
-    return dbscan(_category_vectors(t), eps=0.3, min_samples=10)
-
-
 # Labels spread from core point to core point until none changes; clusters are numbered by their lowest core id.
 def dbscan_sql(vectors: str, eps: float, min_samples: int) -> str:
     """vectors: CTEs ending in v(id, x) with x a DOUBLE list."""
-    return f"""WITH RECURSIVE {vectors},
+    return with_views(f"""WITH {vectors},
     l AS (SELECT id, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
     m AS (SELECT i, avg(x) AS m, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS s FROM l GROUP BY i),
     z AS (SELECT id, list((x - m) / s ORDER BY i) AS x FROM l JOIN m USING (i) GROUP BY id),
@@ -93,7 +88,13 @@ def dbscan_sql(vectors: str, eps: float, min_samples: int) -> str:
     nr AS (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS cluster FROM cc),
     lb AS (SELECT id, cluster FROM nr UNION ALL SELECT e.a, min(nr.cluster) FROM e JOIN nr ON nr.id = e.b
       WHERE e.a NOT IN (SELECT id FROM core) GROUP BY e.a)
-    SELECT v.id, coalesce(lb.cluster, -1) AS cluster, round(v.x[1], 6) AS feature_1, round(v.x[2], 6) AS feature_2 FROM v LEFT JOIN lb ON lb.id = v.id"""
+    SELECT v.id, coalesce(lb.cluster, -1) AS cluster, round(v.x[1], 6) AS feature_1, round(v.x[2], 6) AS feature_2 FROM v LEFT JOIN lb ON lb.id = v.id""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("dbscan_clusters", dbscan_sql(CATEGORY_V, 0.3, 10))
+def dbscan_clusters(t):
+    out = dbscan(_category_vectors(t), eps=0.3, min_samples=10)
+    return out.withColumns({c: r6(c) for c in ("feature_1", "feature_2")})
 
 
 @query("dbscan_noise_flags", with_views("""WITH i AS (SELECT item_id, avg(rating) AS a, count(rating) AS n FROM reviews GROUP BY item_id),
