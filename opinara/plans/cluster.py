@@ -10,7 +10,7 @@ from opinara.operators import features as FE
 from opinara.operators.dbscan import dbscan
 from opinara.operators.lookups import with_review_stats
 from opinara.plans.registry import query
-from opinara.plans.similarity import CATEGORY_V, PATTERN_SQL, _category_vectors, _metadata
+from opinara.plans.similarity import CATEGORY_V, META_SQL, PATTERN_SQL, _category_vectors, _metadata
 from opinara.sources.tables import with_views
 
 MICRO = 200  # groups from which the merge tree starts
@@ -97,6 +97,15 @@ def dbscan_clusters(t):
     return out.withColumns({c: r6(c) for c in ("feature_1", "feature_2")})
 
 
+META_V = META_SQL + ", v AS (SELECT item_id AS id, [price, category, avg_rating, rating_count, 0, 0] AS x FROM mf)"
+
+
+@query("dbscan_product_groups", dbscan_sql(META_V, 0.5, 10))
+def dbscan_product_groups(t):
+    out = dbscan(FE.as_vector(_metadata(t), "item_id", list(FE.METADATA)), eps=0.5, min_samples=10)
+    return out.withColumns({c: r6(c) for c in ("feature_1", "feature_2")})
+
+
 @query("dbscan_noise_flags", with_views("""WITH i AS (SELECT item_id, avg(rating) AS a, count(rating) AS n FROM reviews GROUP BY item_id),
     z AS (SELECT item_id, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS x, (n - avg(n) OVER ()) / stddev_pop(n) OVER () AS y FROM i),
     d AS (SELECT a.item_id, b.item_id AS other FROM z a JOIN z b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= CAST(0.0225 AS DOUBLE)),
