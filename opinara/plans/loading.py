@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +16,7 @@ from opinara.plans.graph import EDGES_SQL, _edges
 from opinara.plans.registry import query
 from opinara.session import intermediate_path, materialise
 from opinara.sources import sinks
-from opinara.sources.jsonl import BAD, parse_lines
+from opinara.sources.jsonl import BAD, bad_lines, numbered_lines, parse_lines
 from opinara.sources.tables import with_views
 
 EVENT_LINE = T.StructType([
@@ -30,9 +31,9 @@ LINES_SQL = """l AS (SELECT event_id, event_type, CAST(json_extract_string(props
   FROM events)"""
 
 
-def _lines(t):
+def _lines(t, *kept):
     end = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.lit("}"))
-    return t.raw("events").select(F.concat(
+    return t.raw("events").select(*kept, F.concat(
         F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"event_type":"'), "event_type", F.lit('","props":'), "props", end).alias("value"))
 
 
@@ -46,6 +47,18 @@ def jsonl_bad_lines(t):
     return parse_lines(_lines(t), EVENT_LINE, "keep").filter(F.col(BAD).isNotNull()).select(F.col(BAD).alias("bad"))
 
 
+@query("jsonl_bad_positions", f"""WITH {LINES_SQL.replace("FROM events)", ", row_number() OVER (ORDER BY event_id) AS position FROM events)")}
+    SELECT line AS bad, position FROM l WHERE broken""")
+def jsonl_bad_positions(t):
+    """Unreadable lines by file and number; the files hold the events in their order, so both make up a position among all lines."""
+    path = intermediate_path(t.spark)
+    _lines(t, "event_id").repartitionByRange(8, "event_id").sortWithinPartitions("event_id").select("value").write.text(path)
+    counts = numbered_lines(t.spark, path).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    before = counts.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return bad_lines(t.spark, path, EVENT_LINE).join(before, "file").select(F.col(BAD).alias("bad"), (F.col("before") + F.col("line")).alias("position"))
+
+
 # Parts as raw product records: lists from the words of the name, gaps in every kind of column.
 RAW_PRODUCTS_SQL = """raw AS (
   SELECT CAST(p_partkey AS VARCHAR) AS parent_asin, '  <i>' || p_name || '</i>  ' || p_brand AS title, p_type AS main_category,
