@@ -11,6 +11,7 @@ The tie-breaker lets even a key that a third of all rows repeat be cut inside.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,6 +27,7 @@ from opinara.session import materialise
 KEY_BYTES = 24
 KEYS = 1 << (8 * KEY_BYTES)
 PART_ROWS, PART_BYTES = 1_000_000, 256 << 20  # what one task sorts while slots are numbered
+LOOSE = 0.25  # tolerance of boundaries that only part the work, in parts
 
 
 class Boundary(NamedTuple):
@@ -77,12 +79,14 @@ def _count(probes: list[bytes]):
     return count
 
 
-def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0, probes: int = 16) -> list[Boundary]:
+def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0, probes: int = 16, every: int = 1) -> list[Boundary]:
     """Boundaries 1 to `parts` - 1 over `keys` (key binary, size long).
 
     Boundary i is the first key that has at least i / `parts` of all bytes before it, or one
-    whose bytes exceed that by at most `tolerance` of a part. The driver holds `probes` keys
-    for each boundary.
+    whose bytes exceed that by at most `tolerance` of a part; boundaries whose number `every`
+    does not divide may exceed it by `LOOSE` of a part at least, so they are done after a round
+    or two. The bytes and rows before a boundary are exact for all. The driver holds `probes`
+    keys for each boundary that is still open, and finds each boundary's place by bisection.
     """
     def histogram(at: list[int]) -> list[tuple]:
         rows = keys.select("key", "size").mapInArrow(_count([_key(x) for x in at]), "bin int, size bigint, n bigint, low binary, high binary") \
@@ -97,7 +101,8 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0, probes: int =
 
     def open_(i: int) -> bool:
         a, _, rows_a, b, size_b, rows_b = state[i]
-        return rows_b - rows_a > 1 and b - a > 1 and size_b * parts - (i + 1) * total > tolerance * total
+        allowed = tolerance if (i + 1) % every == 0 else max(tolerance, LOOSE)
+        return rows_b - rows_a > 1 and b - a > 1 and size_b * parts - (i + 1) * total > allowed * total
 
     while any(open_(i) for i in range(parts - 1)):
         spans = {state[i][0:1] + state[i][3:4] for i in range(parts - 1) if open_(i)}
@@ -106,14 +111,14 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0, probes: int =
         for k, s, m, first, end in histogram(at):
             found += [(first, size, rows), (end, size + s, rows + m)]  # bytes and rows below the extreme keys of a bin
             size, rows = size + s, rows + m
+        before = [s for _, s, _ in found]  # ascending, as are the keys
         for i in range(parts - 1):
             a, size_a, rows_a, b, size_b, rows_b = state[i]
-            for key, s, m in found:
-                if s * parts < (i + 1) * total:
-                    if (s, key) > (size_a, a):
-                        a, size_a, rows_a = key, s, m
-                elif (s, key) < (size_b, b):
-                    b, size_b, rows_b = key, s, m
+            at = bisect_left(before, -(-(i + 1) * total // parts))
+            if at > 0 and (found[at - 1][1], found[at - 1][0]) > (size_a, a):
+                a, size_a, rows_a = found[at - 1]
+            if at < len(found) and (found[at][1], found[at][0]) < (size_b, b):
+                b, size_b, rows_b = found[at]
             state[i] = (a, size_a, rows_a, b, size_b, rows_b)
     return [Boundary(_key(b), s, m) for _, _, _, b, s, m in state]
 
@@ -131,19 +136,18 @@ def shard_by_bytes(docs: DataFrame, shards: int, tolerance: float = 0.0, text: s
     slim = materialise(docs.select(F.col(key).alias("key"), "size"))
     rows, total = slim.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     parts = shards * max(1, -(-rows // (shards * part_rows)), -(-total // (shards * part_bytes)))
-    cuts = splitters(slim, parts, tolerance, probes)
-    keys = [c.key for c in cuts]
-
-    @F.pandas_udf("int")
-    def part_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(keys, f"S{KEY_BYTES}"), np.array(key.tolist(), f"S{KEY_BYTES}"), "right").astype(np.int32))
-
     each = parts // shards
-    starts = [0, *(c.rows for c in cuts)]
-    shift = F.array(*(F.lit(starts[p] - starts[p - p % each]).cast("long") for p in range(parts)))
-    window = Window.partitionBy(part).orderBy(key)
-    placed = docs.withColumn(part, part_of(key))
-    slot = F.row_number().over(window).cast("long") - 1
-    if each > 1:
-        slot = slot + F.element_at(shift, F.col(part) + 1)
-    return with_columns(placed, shard=F.floor(F.col(part) / each).cast("int"), slot=slot).drop(part, key)
+    cuts = splitters(slim, parts, tolerance, probes, each)
+    keys = [c.key for c in cuts]
+    starts = np.array([0, *(c.rows for c in cuts)], np.int64)
+    shifts = starts - starts[np.arange(parts) // each * each]  # rows of the shard before a part
+
+    @F.pandas_udf("part int, shift bigint")
+    def place(key: pd.Series) -> pd.DataFrame:
+        at = np.searchsorted(np.array(keys, f"S{KEY_BYTES}"), np.array(key.tolist(), f"S{KEY_BYTES}"), "right")
+        return pd.DataFrame({"part": at.astype(np.int32), "shift": shifts[at]})
+
+    number, shift = F.col(part)["part"], F.col(part)["shift"]
+    slot = F.row_number().over(Window.partitionBy(number).orderBy(key)).cast("long") - 1 + shift
+    placed = docs.withColumn(part, place(key))
+    return with_columns(placed, shard=F.floor(number / each).cast("int"), slot=slot).drop(part, key)

@@ -1,5 +1,6 @@
 """Operators with a definition that a few lines of Python can repeat on small tables."""
 
+import bisect
 import hashlib
 import random
 import zlib
@@ -246,6 +247,23 @@ def test_shards_with_tolerance_and_of_nothing(documents, none):
     assert sharding.shard_by_bytes(none, 4).count() == 0
 
 
+def test_thousands_of_boundaries(spark):
+    rng = np.random.default_rng(4)
+    names, sizes = rng.bytes(24 * 3000), rng.integers(1, 5000, 3000)
+    keys = sorted({names[24 * i:24 * i + 24] for i in range(3000)})
+    df = spark.createDataFrame([(bytearray(k), int(s)) for k, s in zip(keys, sizes)], "key binary, size long").repartition(4)
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    parts, total = 4000, int(before[-1])
+    for every in (1, 100):
+        cuts = sharding.splitters(df, parts, every=every)
+        assert [c.key for c in cuts] == sorted(c.key for c in cuts)
+        for i, c in enumerate(cuts, 1):
+            first = int(np.searchsorted(before * parts, i * total))
+            at = bisect.bisect_left(keys, c.key)
+            assert (c.size, c.rows) == (before[at], at)
+            assert at == first if i % every == 0 else at >= first
+
+
 def test_crc_is_unsigned(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id long, text string")
     assert {r[0]: r[1] for r in df.select("text", F.crc32(F.col("text").cast("binary"))).collect()} == {f"t{i}": zlib.crc32(f"t{i}".encode()) for i in range(50)}
