@@ -10,6 +10,7 @@ from opinara.functions.text import stem
 from opinara.functions.vectors import l2_normalise, padded
 from opinara.operators import cluster as CL
 from opinara.operators import features as FE
+from opinara.operators import knn
 from opinara.operators.dbscan import connected_components, dbscan
 from opinara.operators.knn import nearest_items, nearest_neighbours, search_cells
 from opinara.operators.latent import latent_factors, latent_reduction
@@ -50,6 +51,25 @@ def test_exact_neighbours(spark, metric):
     assert got == brute(x, 7, metric)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "ip", "l2"])
+def test_exact_queries_travel_once_to_each_group(spark, metric, monkeypatch):
+    """Cells that cannot be ruled out are visited in groups, in slices, with the same result."""
+    x, sent, search = points(5, 120, 24, 4), [], knn.search_cells
+
+    def counted(queries, items, *args):
+        sent.append(queries.count())
+        return search(queries, items, *args)
+
+    monkeypatch.setattr(knn, "search_cells", counted)
+    monkeypatch.setattr(knn, "GROUP", 50)
+    monkeypatch.setattr(knn, "SLICE", 16)
+    got = {}
+    for r in nearest_neighbours(table(spark, x), 7, metric=metric, n_pivots=12).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["neighbour_id"])
+    assert got == brute(x, 7, metric)
+    assert sent[0] <= 120 and sent[1] <= 120 * 3  # three groups of at least 50 rows at most, not eleven cells
+
+
 def test_distances_and_similarities_differ(spark):
     x = np.array([[1.0, 0.0], [0.0, 2.0], [1.0, 0.0]])
     rows = {(r["query_id"], r["neighbour_id"]): r for r in nearest_neighbours(table(spark, x), 2).collect()}
