@@ -199,3 +199,37 @@ def test_hybrid_without_pools(spark, hot_limit):
     reviews = spark.createDataFrame([(int(u), int(i), int(r[u, i]), 0) for u, i in np.argwhere(r)], "user_id long, item_id long, rating int, ts long")
     features = sparse(spark, x, ("item_id", "n", "weight")).selectExpr("item_id", "cast(n as string) AS term", "weight")
     same(ranked(R.recommend_hybrid_complete(reviews, features, 0.6, 60, 7, hot_limit), "user_id", "item_id"), want)
+
+
+@pytest.mark.parametrize("named", [False, True])
+@pytest.mark.parametrize("digits", [9, None])
+def test_whole_items_meet_in_tiles(spark, named, digits, monkeypatch):
+    """Many queries against many items: every weight goes once to each block or chunk, whatever the number of products."""
+    rng = np.random.default_rng(4)
+    x, q = skewed_matrix(rng, 300, 40, 0.8, [0.5, 1.0, 3.0]), skewed_matrix(rng, 250, 40, 0.8, [0.5, 1.0, 2.0])
+    gone = rng.random((250, 300)) < 0.1
+    tiled, sent = SC._tiled, []
+
+    def counted(*args):
+        sent.append(args[-3:-1])
+        return tiled(*args)
+
+    monkeypatch.setattr(SC, "_tiled", counted)
+    monkeypatch.setattr(SC, "PACK", 64)
+    monkeypatch.setattr(SC, "BLOCK_ROWS", 3000)
+    queries, items = sparse(spark, q, ("query", "dim", "qw")), sparse(spark, x, ("item", "dim", "iw"))
+    if named:
+        queries, items = (df.withColumn("dim", df["dim"].cast("string")) for df in (queries, items))
+    if digits is None:
+        norms = spark.createDataFrame([(i, float(np.sqrt((r * r).sum()))) for i, r in enumerate(x)], "item long, norm double")
+        items = items.join(norms, "item")
+    got = SC.top_scores(queries, items, 6, sparse(spark, gone, ("query", "item", "n")).select("query", "item"), digits=digits, block_entries=500)
+    assert sent and sent[0][0] == np.count_nonzero(x)
+    if digits is not None:
+        return same(ranked(got), dense_top(q, x, 6, gone))
+    scores = q @ x.T
+    scores[gone] = 0
+    norm = np.round(np.sqrt((x * x).sum(axis=1)), 9)
+    for i, found in ranked(got).items():
+        keys = np.round(scores[i], 9) / norm
+        assert [j for j, _ in found] == [int(j) for j in np.lexsort((np.arange(300), -keys)) if keys[j] > 0][:6]
