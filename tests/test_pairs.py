@@ -247,3 +247,28 @@ def test_model_items_and_report(spark):
     recs = spark.createDataFrame([(1, 99, 0.12345, 1), (1, 2, 0.1, 2)], "user_id long, item_id long, score double, rank int")
     rep = R.recommendation_report({"m": recs}, products, ratings.select("user_id").distinct()).first()
     assert [(x["title"], x["score"]) for x in rep["recommendations"]] == [("Unknown", 0.123), ("t2", 0.1)]
+
+
+def test_pairs_stay_in_the_tasks_of_their_entities(spark, monkeypatch):
+    from opinara.operators import partners as P
+
+    rows = skewed(5)
+    want = lists(G.similar_users(frame(spark, rows), 5), "user_id", "similar_user", "similarity")
+    rated = defaultdict(set)
+    for u, i, _, _ in rows:
+        rated[i].add(u)
+    monkeypatch.setattr(P, "PAIRS", 40)
+    monkeypatch.setattr(P, "SLICE", 16)
+    got = G.similar_users(frame(spark, rows), 5)
+    assert got.rdd.getNumPartitions() == -(-sum(len(u) ** 2 for u in rated.values()) // 40)  # more pairs, more parts, not larger ones
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and "a_id" in line for line in plan.splitlines())
+    assert lists(got, "user_id", "similar_user", "similarity") == want
+
+
+def test_pairs_with_nulls_and_repeated_rows(spark):
+    rows = [(1, 1, 5, 0), (2, 1, None, 0), (3, 1, 2, 0), (1, 2, 1, 0), (3, 2, 4, 0), (None, 1, 5, 0), (2, None, 5, 0), (1, 2, 1, 0)]
+    got = {(r["user_id"], r["similar_user"]): (r["common_products"], r["similarity"]) for r in G.similar_users(frame(spark, rows), 5).collect()}
+    assert got == {(1, 2): (1, None), (2, 1): (1, None), (1, 3): (2, 0.25), (3, 1): (2, 0.25), (2, 3): (1, None), (3, 2): (1, None)}
+    lines = spark.createDataFrame([(1, 7), (1, 7), (1, 8), (2, 8), (2, 7), (None, 7), (2, None)], "o long, p long")
+    assert {tuple(r) for r in G.co_purchases(lines, "o", "p", 3).collect()} == {(7, 8, 2, 1), (8, 7, 2, 1)}
