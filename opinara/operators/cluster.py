@@ -54,6 +54,7 @@ def kmeans(features: DataFrame, k: int | None = None, max_k: int = 10, starts: i
 
     Clusters are numbered by their centres. Without `k` the best silhouette decides.
     """
+    features = materialise(features)
     scaled = standardise(features)
     if k is None:
         k = best_k(choose_k(scaled, max_k, starts, seed))
@@ -166,7 +167,8 @@ def davies_bouldin(labelled: DataFrame) -> float | None:
 
 
 def run_report(algorithm: str, labelled: DataFrame, with_noise: bool = False) -> DataFrame:
-    """One row per run: clusters, noise and quality. `labelled` has id, vector, cluster."""
+    """One row per run: clusters, noise and quality. `labelled` has id, vector, cluster; it is read many times, so it is written once."""
+    labelled = materialise(labelled.select("id", "vector", "cluster"))
     counts = labelled.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cluster") == -1).alias("noise")).first()
     real = labelled.filter(F.col("cluster") != -1)
     n_clusters = real.select("cluster").distinct().count()
@@ -184,6 +186,7 @@ def run_report(algorithm: str, labelled: DataFrame, with_noise: bool = False) ->
 
 def with_vectors(assigned: DataFrame, features: DataFrame) -> DataFrame:
     """(`id`, `vector`, `cluster`) for the metrics, on standardised features."""
+    features = materialise(features)
     return standardise(features).join(assigned.select("id", "cluster"), "id")
 
 
@@ -226,6 +229,7 @@ def hierarchical(features: DataFrame, k: int = 5, linkage: str = "ward", seed: i
     down to `k` groups. `micro` is part of the definition: the tree starts from these groups, not from single
     rows, at every size of the table. It is exact where every distinct vector is a micro-cluster of its own.
     """
+    features = materialise(features)
     rows = standardise(features).select("id", as_doubles("vector").alias("vector")).repartition("id").sortWithinPartitions("id")  # one seed, one result
     data = materialise(rows).withColumn("features", array_to_vector("vector"))
     model = KMeans(k=micro, seed=seed, maxIter=20).fit(data)

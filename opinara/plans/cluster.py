@@ -11,6 +11,7 @@ from opinara.operators.dbscan import dbscan
 from opinara.operators.lookups import with_review_stats
 from opinara.plans.registry import query
 from opinara.plans.similarity import CATEGORY_V, META_SQL, PATTERN_SQL, _category_vectors, _metadata
+from opinara.session import materialise
 from opinara.sources.tables import with_views
 
 MICRO = 200  # groups from which the merge tree starts
@@ -44,7 +45,7 @@ def choose_k(t):
 
 @query("cluster_metrics")
 def cluster_metrics(t):
-    users, vectors = user_features(t), FE.as_vector(_metadata(t), "item_id", list(FE.METADATA))
+    users, vectors = materialise(user_features(t)), materialise(FE.as_vector(_metadata(t), "item_id", list(FE.METADATA)))
     km, ward = CL.kmeans(users, 3), CL.hierarchical(vectors, 5, micro=MICRO)
     return CL.run_report("kmeans", CL.with_vectors(km, users)).unionByName(CL.run_report("ward", CL.with_vectors(ward, vectors)))
 

@@ -376,6 +376,21 @@ def test_cluster_profiles(spark):
     assert [tuple(x) for x in CL.top_categories(assigned, products, "item_id").select("main_category", "n").collect()] == [("x", 2)]
 
 
+def test_reports_read_their_features_a_few_times(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = [(i, [float(i % 2) * 9 + i / 100, float(i % 5)]) for i in range(40)]
+    features = spark.createDataFrame(rows, "id long, vector array<double>").mapInPandas(look, "id long, vector array<double>")
+    CL.run_report("kmeans", CL.with_vectors(CL.kmeans(features, 2), features)).collect()
+    CL.run_report("ward", CL.with_vectors(CL.hierarchical(features, 2, micro=8), features)).collect()
+    assert seen.value <= 4 * len(rows)  # one pass for each clustering and each report
+
+
 def test_term_counts_need_no_shuffle_by_pair(spark):
     from opinara.operators.tfidf import term_counts, tfidf
 
