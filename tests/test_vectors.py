@@ -168,6 +168,34 @@ def test_latent_factors_of_a_large_vocabulary(spark):
     assert values == [] and docs.count() == 0 and latent_reduction(few.limit(0), 4).columns == ["doc", "vector"]
 
 
+def test_latent_factors_keep_no_row_for_each_term(spark, monkeypatch):
+    """The basis has a row for each document and is replaced in every pass; columns may travel in slices."""
+    import opinara.operators.latent as L
+    import opinara.session as session
+
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((25, 600)) * (rng.random((25, 600)) < 0.2)
+    f = spark.createDataFrame([(f"d{i}", f"t{j}", float(x[i, j])) for i, j in zip(*np.nonzero(x))], "doc string, term string, weight double")
+    kept, write = [], session.materialise
+
+    def seen(df):
+        kept.append(write(df))
+        if "row" in df.columns:
+            assert kept[-1].count() <= 25
+        return kept[-1]
+
+    monkeypatch.setattr(L, "materialise", seen)
+    monkeypatch.setattr(L, "SIDE", 200)  # 25 documents in slices of a few columns
+    before = len(session._WRITTEN)
+    docs, values = latent_factors(f, 20, passes=4, entries=300)
+    assert len(session._WRITTEN) - before <= 2 and len(kept) > 8
+    want = np.linalg.svd(x, compute_uv=False)
+    assert np.allclose(values, want[:20], rtol=1e-3)
+    rows = {r["doc"]: np.array(r["vector"]) for r in docs.collect()}
+    got = np.array([rows[f"d{i}"] for i in range(25)])
+    assert np.allclose((got ** 2).sum(axis=0), np.square(values), rtol=1e-6)
+
+
 def test_stems(spark):
     words = {"polishes": "polish", "polished": "polish", "polishing": "polish", "parties": "parti", "party": "parti", "stopped": "stop",
              "planning": "plan", "plates": "plat", "plate": "plat", "glass": "glass", "bus": "bus", "is": "is", "ring": "ring", "sing": "sing",
