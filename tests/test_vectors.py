@@ -381,6 +381,23 @@ def test_cells_meet_by_pivots_as_by_the_grid(spark):
     assert by(_pivot_pairs(cells, side, 0.5, 3, 7)) == by(_grid_pairs(cells, side, 0.5, 3))
 
 
+def test_dbscan_searches_few_pairs_of_full_cells(spark, monkeypatch):
+    """Full cells whose single points already join them are not searched whole; constant coordinates cost no cells."""
+    import opinara.operators.dbscan as D
+
+    searched, linked, cut = [], D._linked_dense, D._pivot_pairs
+    monkeypatch.setattr(D, "_linked_dense", lambda pairs, *rest: searched.append(pairs.count()) or linked(pairs, *rest))
+    seen = []
+    monkeypatch.setattr(D, "_pivot_pairs", lambda cells, side, eps, dims, pivots: seen.append(dims) or cut(cells, side, eps, dims, pivots))
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.uniform(0, 1, (1500, 4)), rng.uniform(0, 1, (300, 4)) + [1.8, 0, 0, 0], rng.uniform(4, 9, (30, 4))])
+    x = np.round(np.concatenate([x[:, :2], np.full((len(x), 2), 7.0), x[:, 2:]], axis=1), 3)
+    got = {r["id"]: r["cluster"] for r in dbscan(table(spark, x), 0.6, 4, scale=False).collect()}
+    want = brute_dbscan(x, 0.6, 4)
+    assert [got[i] for i in range(len(x))] == want.tolist() and len(set(want)) > 2
+    assert seen == [4] and searched[0] < 40
+
+
 def test_dbscan_all_noise(spark):
     x = np.array([[0.0, 0], [5, 5], [9, 0]])
     assert {r["cluster"] for r in dbscan(table(spark, x), 0.5, 2, scale=False).collect()} == {-1}
