@@ -233,3 +233,26 @@ def test_whole_items_meet_in_tiles(spark, named, digits, monkeypatch):
     for i, found in ranked(got).items():
         keys = np.round(scores[i], 9) / norm
         assert [j for j, _ in found] == [int(j) for j in np.lexsort((np.arange(300), -keys)) if keys[j] > 0][:6]
+
+
+def test_excluded_pairs_go_to_one_tile(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x, q = skewed_matrix(rng, 300, 40, 0.8, [0.5, 1.0, 3.0]), skewed_matrix(rng, 250, 40, 0.8, [0.5, 1.0, 2.0])
+    gone = rng.random((250, 300)) < 0.1
+    seen, block = spark.sparkContext.accumulator(0), SC._score_block
+
+    def counted(*args):
+        score = block(*args)
+
+        def run(asked, lists):
+            seen.add(len(asked["item"].drop_null()))
+            return score(asked, lists)
+
+        return run
+
+    monkeypatch.setattr(SC, "_score_block", counted)
+    monkeypatch.setattr(SC, "BLOCK_ROWS", 3000)
+    got = SC.top_scores(sparse(spark, q, ("query", "dim", "qw")), sparse(spark, x, ("item", "dim", "iw")), 6,
+                        sparse(spark, gone, ("query", "item", "n")).select("query", "item"), block_entries=500)
+    same(ranked(got), dense_top(q, x, 6, gone))
+    assert seen.value == gone[q.any(axis=1)].sum()
