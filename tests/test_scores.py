@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opinara.operators import graph as G
 from opinara.operators import recommend as R
@@ -256,3 +257,25 @@ def test_excluded_pairs_go_to_one_tile(spark, monkeypatch):
                         sparse(spark, gone, ("query", "item", "n")).select("query", "item"), block_entries=500)
     same(ranked(got), dense_top(q, x, 6, gone))
     assert seen.value == gone[q.any(axis=1)].sum()
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_blocks_take_turns_and_keep_only_the_best(spark, kind, monkeypatch):
+    """A few blocks at a time meet the items, which pass by in pieces; what a turn shuffles is bounded, ties go to the lower item."""
+    rng = np.random.default_rng(8)
+    x, q = skewed_matrix(rng, 400, 30, 0.8, [1.0, 2.0]), skewed_matrix(rng, 200, 30, 0.8, [1.0, 2.0])
+    gone = rng.random((200, 400)) < 0.1
+    turns, write = [], SC.materialise
+
+    def counted(df, settings=None):
+        turns.extend([settings] if settings else [])
+        return write(df, settings)
+
+    monkeypatch.setattr(SC, "materialise", counted)
+    for name, value in (("PACK", 100), ("SLICE", 500), ("KEPT", 300), ("BLOCK_BEST", 60), ("TILE_ENTRIES", 1000)):
+        monkeypatch.setattr(SC, name, value)
+    items = sparse(spark, x, ("item", "dim", "iw")).withColumn("item", F.format_string("%03d", "item").cast(kind))
+    out = sparse(spark, gone, ("query", "item", "n")).select("query", F.format_string("%03d", "item").cast(kind).alias("item"))
+    got = SC.top_scores(sparse(spark, q, ("query", "dim", "qw")), items, 6, out, block_entries=1000).withColumn("item", F.col("item").cast("long"))
+    same(ranked(got), dense_top(q, x, 6, gone))
+    assert len(turns) > 3
