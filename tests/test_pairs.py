@@ -272,3 +272,38 @@ def test_pairs_with_nulls_and_repeated_rows(spark):
     assert got == {(1, 2): (1, None), (2, 1): (1, None), (1, 3): (2, 0.25), (3, 1): (2, 0.25), (2, 3): (1, None), (3, 2): (1, None)}
     lines = spark.createDataFrame([(1, 7), (1, 7), (1, 8), (2, 8), (2, 7), (None, 7), (2, None)], "o long, p long")
     assert {tuple(r) for r in G.co_purchases(lines, "o", "p", 3).collect()} == {(7, 8, 2, 1), (8, 7, 2, 1)}
+
+
+@pytest.mark.parametrize("bits", [10, 1])
+def test_paths_in_turns(spark, bits, monkeypatch):
+    """Blocks are sent a few at a time, a pair's five counts as one number unless one is too large for that."""
+    from opinara.operators import partners as P
+
+    rng = random.Random(11)
+    rows = [(rng.randrange(30), rng.randrange(12), rng.randint(1, 5), t) for t in range(300)]
+    kinds, task = [], P._joined_sums
+
+    def seen(edges, *args):
+        kinds.append(dict(edges.dtypes)["stars"])
+        return task(edges, *args)
+
+    written, write = [], P.materialise
+    monkeypatch.setattr(P, "_joined_sums", seen)
+    monkeypatch.setattr(P, "materialise", lambda df: written.append(1) or write(df))
+    monkeypatch.setattr(P, "PAIRS", 500)
+    monkeypatch.setattr(P, "TURN", 1)
+    monkeypatch.setattr(G, "STAR_BITS", bits)
+    paths, gaps = defaultdict(int), defaultdict(int)
+    for u, i, r, _ in rows:
+        for v, j, s, _ in rows:
+            if i == j and u != v:
+                paths[u, v] += 1
+                gaps[u, v] += abs(r - s)
+    got = defaultdict(list)
+    for r in G.similar_users_by_paths(frame(spark, rows), 4).orderBy("user_id", "rank").collect():
+        got[r["user_id"]].append((r["similar_user"], r["common_products"], r["similarity"]))
+    for u in {u for u, *_ in rows}:
+        near = sorted((-n, round(gaps[u, v] / n, 9), v) for (a, v), n in paths.items() if a == u)[:4]
+        assert got[u] == [(v, -n, pytest.approx(1 / (1 + d), abs=1e-6)) for n, d, v in near]
+    assert kinds == ["double" if bits == 10 else "array<double>"]
+    assert len(written) > 3  # the rows, the lists and more than one turn
