@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -445,3 +446,27 @@ def test_word_vectors_train_in_parts(spark, monkeypatch):
     assert FE.word_vectors(docs, "id", "text", dim=4).count() == 45
     assert FE.word_vectors(docs, "id", "text", dim=4, part_rows=20).count() == 45
     assert asked == [1, 3]
+
+
+def test_latent_factors_hold_few_numbers_at_once(spark, monkeypatch):
+    """Rows leave a task some documents at a time, and the first signs stay bits, whatever the number of documents and terms of a block."""
+    import opinara.operators.latent as L
+
+    rng = np.random.default_rng(12)
+    x = rng.random((40, 90)) * (rng.random((40, 90)) < 0.3)
+    f = spark.createDataFrame([(int(d), f"t{t}", float(x[d, t])) for d, t in np.argwhere(x)], "doc long, term string, weight double")
+    sizes, lists = spark.sparkContext.accumulator(0), L._lists
+
+    def counted(rows, kind):
+        if kind == pa.float32() and rows.size > 80:
+            sizes.add(1)
+        return lists(rows, kind)
+
+    monkeypatch.setattr(L, "_lists", counted)
+    monkeypatch.setattr(L, "PIECE", 80)
+    matrix = L._Matrix(f, 15, 1 << 22)
+    assert all(len(r["sign"]) == 2 * len(r["n"]) for r in matrix.blocks.collect())
+    started = {r["d"]: r["row"] for r in matrix.started(15).collect()}
+    assert len(started) == 40 and not sizes.value
+    docs, values = latent_factors(f, 40, passes=2)
+    assert np.allclose(values, np.linalg.svd(x, compute_uv=False)[:len(values)], rtol=1e-5) and docs.count() == 40
